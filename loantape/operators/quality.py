@@ -71,7 +71,7 @@ def profile_of_counts(counts: dict[str, Column]) -> Column:
 
 def profile_of_texts(texts: Column) -> Column:
     """The profile array of an array of ``:a:b:`` texts, sorted by name."""
-    tokens = F.filter(F.flatten(F.transform(texts, split_tokens)), lambda t: t != "")
+    tokens = F.filter(F.flatten(F.transform(texts, lambda t: split_tokens(t))), lambda t: t != "")
     return F.transform(
         F.array_sort(F.array_distinct(tokens)),
         lambda f: F.struct(
