@@ -13,10 +13,12 @@ from loantape.functions.arrays import (
 )
 from loantape.functions.bits import bit_position_sum, bit_positions, bucket, reinterpret_uint64
 from loantape.functions.scalars import (
+    age_fp,
     bare_path,
     cast_f32,
     cast_i32,
     conditional,
+    decoded_uri,
     dq_number,
     harp_flag,
     month_end,
@@ -28,6 +30,7 @@ from loantape.functions.scalars import (
 )
 
 __all__ = [
+    "age_fp",
     "array_avg",
     "array_filter",
     "array_filter2",
@@ -42,6 +45,7 @@ __all__ = [
     "cast_f32",
     "cast_i32",
     "conditional",
+    "decoded_uri",
     "dq_number",
     "element_at",
     "harp_flag",

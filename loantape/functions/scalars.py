@@ -84,7 +84,11 @@ def harp_flag(file: Column) -> Column:
     return F.when(F.contains(F.lower(file), F.lit("harp")), "Y").otherwise("N")
 
 
+def decoded_uri(uri: Column) -> Column:
+    """A file's URI as Spark's metadata column shows it, with its percent escapes undone."""
+    return F.coalesce(F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), uri)
+
+
 def bare_path(uri: Column) -> Column:
     """A file's path without URI scheme and percent escapes."""
-    path = F.regexp_replace(uri, "^[A-Za-z][A-Za-z0-9+.-]*:(//)?", "")
-    return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    return F.regexp_replace(decoded_uri(uri), "^[A-Za-z][A-Za-z0-9+.-]*:(//)?", "")

@@ -165,7 +165,10 @@ def _long_loans(rows: DataFrame, compat: bool, max_rows: int) -> DataFrame:
 
 
 def _field(name: str) -> T.StructField:
-    return FIELDS[name].struct_field
+    field = FIELDS[name].struct_field
+    if name in MEANS:  # a mean of whole numbers need not be one
+        return T.StructField(name, T.FloatType(), True, field.metadata)
+    return field
 
 
 def loan_schema() -> T.StructType:

@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("loantape-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.warehouse.dir", str(base / "warehouse"))
