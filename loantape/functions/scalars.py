@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from typing import Any
 
 from pyspark.sql import Column
@@ -77,7 +78,7 @@ def month_end(d: Column) -> Column:
 
 def split_tokens(text: Column, separator: str = ":") -> Column:
     """The pieces of a text between separators; empty pieces are kept."""
-    return F.split(text, f"\\Q{separator}\\E", -1)
+    return F.split(text, re.escape(separator), -1)
 
 
 def harp_flag(file: Column) -> Column:

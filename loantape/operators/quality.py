@@ -76,13 +76,20 @@ def profile_of_counts(counts: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*pairs)).cast(PROFILE_TYPE)
 
 
-def profile_of_texts(texts: Column) -> Column:
-    """The profile array of an array of ``:a:b:`` texts, sorted by name."""
-    tokens = F.filter(F.flatten(F.transform(texts, lambda t: split_tokens(t))), lambda t: t != "")
+def tokens_of_texts(texts: Column) -> Column:
+    """All names in an array of ``:a:b:`` texts. Store it as a column before taking the profile."""
+    return F.array_remove(split_tokens(F.array_join(texts, "")), "")
+
+
+def profile_of_tokens(tokens: Column) -> Column:
+    """The profile array of an array of names, sorted by name.
+
+    ``tokens`` should be a plain column: inside the lambda an expression is computed once per name.
+    """
     return F.transform(
-        F.array_sort(F.array_distinct(tokens)),
+        F.sort_array(F.array_distinct(tokens)),
         lambda f: F.struct(
-            f.alias("field"), F.size(F.filter(tokens, lambda t: t == f)).alias("cntFail")
+            f.alias("field"), (F.size(tokens) - F.size(F.array_remove(tokens, f))).alias("cntFail")
         ),
     )
 

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BROADCAST_ROWS = 100_000
+# About 100 bytes per row of ids once hashed, so some 100 MB per executor at most.
+BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 COPIES = "__copies"
 
 
@@ -34,13 +36,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small_or_none(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
-    """A hint to broadcast if the table has at most ``max_rows`` rows, the plain table beyond that,
-    ``None`` if it is empty. Counts no further than the bound."""
-    rows = df.limit(max_rows + 1).count()
-    if rows == 0:
+def small_or_none(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame | None:
+    """A hint to broadcast if the table is counted within both bounds, the plain table beyond them,
+    ``None`` if it is empty. Counts no further than one row past the bound."""
+    widths = [
+        F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0))
+        for f in df.schema.fields
+    ]
+    size = widths[0].cast("bigint")
+    for width in widths[1:]:
+        size = size + width
+    found = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(size)).first()
+    if found[0] == 0:
         return None
-    return F.broadcast(df) if rows <= max_rows else df
+    return F.broadcast(df) if found[0] <= max_rows and found[1] <= max_bytes else df
 
 
 def group_sizes(df: DataFrame, keys: Iterable[str]) -> DataFrame:

@@ -146,10 +146,11 @@ def _whole_loans(rows: DataFrame, compat: bool) -> DataFrame:
     grouped = rows.groupBy(*KEYS).agg(
         gathered(order, timeline_item()).alias("monthly"),
         F.count(F.lit(1)).alias("__n"),
-        quality.profile_of_texts(F.collect_list(F.when(F.col("qa") != "", F.col("qa")))).alias("qa"),
+        quality.tokens_of_texts(F.collect_list("qa")).alias("__tokens"),
         *[agg.alias(name) for name, agg in static_aggregates(order, compat).items()],
     )
-    return _finished(grouped.withColumn("part", F.lit(0)))
+    profiled = grouped.withColumn("qa", quality.profile_of_tokens(F.col("__tokens")))
+    return _finished(profiled.drop("__tokens").withColumn("part", F.lit(0)))
 
 
 def _long_loans(rows: DataFrame, compat: bool, max_rows: int) -> DataFrame:
