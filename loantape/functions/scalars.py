@@ -87,9 +87,17 @@ def harp_flag(file: Column) -> Column:
 
 def decoded_uri(uri: Column) -> Column:
     """A file's URI as Spark's metadata column shows it, with its percent escapes undone."""
-    return F.coalesce(F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), uri)
+    plain = F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(uri, F.lit("%")), F.coalesce(plain, uri)).otherwise(uri)
 
 
 def bare_path(uri: Column) -> Column:
-    """A file's path without URI scheme and percent escapes."""
-    return F.regexp_replace(decoded_uri(uri), "^[A-Za-z][A-Za-z0-9+.-]*:(//)?", "")
+    """A file's path without URI scheme and percent escapes.
+
+    Runs for every row of a scan, hence searches for fixed texts instead of a pattern.
+    """
+    path = decoded_uri(uri)
+    colon = F.instr(path, ":")
+    has_scheme = (colon > 1) & (F.instr(path, "/") == colon + 1)
+    after = F.when(F.instr(path, "://") == colon, colon + 3).otherwise(colon + 1)
+    return F.when(has_scheme, F.substr(path, after)).otherwise(path)

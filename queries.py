@@ -82,7 +82,7 @@ def scanned(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def folder(path: Column) -> Column:
-    return F.regexp_extract(path, "([^/]+)/[^/]+$", 1)
+    return F.substring_index(F.substring_index(path, "/", -2), "/", 1)
 
 
 def flat(c: Column) -> Column:
