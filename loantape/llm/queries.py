@@ -2,21 +2,39 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loantape.llm import simhash
+from loantape.llm import bpe, language, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs.where(~language.held_out()))
+    rows = docs.select("doc_id", "text", language.held_out().alias("held_out"))
+    return language.identify(rows, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, radius=2)
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = ["n_tokens", "ids_sha256", "decoded_sha256"]
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.tokenise(docs, path, public_tokenizers.PATTERN, made).select("doc_id", *made)
+
+
 QUERIES = {
+    "op1_language": op1_language,
     "op2_simhash": op2_simhash,
+    "op9_byte_bpe": op9_byte_bpe,
 }
 
 SQL: dict[str, str] = {}
