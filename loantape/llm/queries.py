@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loantape.llm import bpe, language, simhash
+from loantape.llm import bpe, html, language, sharding, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,24 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, radius=2)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, _table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
+def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(_table(spark, sf_dir, "documents"), 40).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     made = ["n_tokens", "ids_sha256", "decoded_sha256"]
@@ -34,6 +52,9 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language": op1_language,
     "op2_simhash": op2_simhash,
+    "op3_warc": op3_warc,
+    "op4_main_text": op4_main_text,
+    "op5_shards": op5_shards,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
