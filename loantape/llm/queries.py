@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loantape.llm import bpe, html, language, sharding, simhash, warc
+from loantape.llm import bpe, html, language, mixing, sharding, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,11 @@ def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     made = ["n_tokens", "ids_sha256", "decoded_sha256"]
@@ -55,6 +60,7 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_main_text": op4_main_text,
     "op5_shards": op5_shards,
+    "op7_mixing": op7_mixing,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
