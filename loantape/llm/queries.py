@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loantape.llm import bpe, html, language, mixing, sharding, simhash, warc
+from loantape.llm import bpe, html, language, mixing, quality, sharding, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.judge(docs)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     made = ["n_tokens", "ids_sha256", "decoded_sha256"]
@@ -61,6 +66,7 @@ QUERIES = {
     "op4_main_text": op4_main_text,
     "op5_shards": op5_shards,
     "op7_mixing": op7_mixing,
+    "op8_quality": op8_quality,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
