@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loantape.llm import bpe, html, language, mixing, quality, sharding, simhash, warc
+from loantape.llm import bpe, html, language, mixing, pq, quality, sharding, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq.near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -65,6 +69,7 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_main_text": op4_main_text,
     "op5_shards": op5_shards,
+    "op6_embeddings": op6_embeddings,
     "op7_mixing": op7_mixing,
     "op8_quality": op8_quality,
     "op9_byte_bpe": op9_byte_bpe,
