@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loantape.llm import bpe, html, language, mixing, pq, quality, sharding, simhash, warc
+from loantape.llm import bpe, html, language, mixing, pq, quality, sharding, simhash, suffixes, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,13 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.tokenise(docs, path, public_tokenizers.PATTERN, made).select("doc_id", *made)
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.remove_repeats(docs, kept=False).select(
+        "row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_simhash": op2_simhash,
@@ -73,6 +80,7 @@ QUERIES = {
     "op7_mixing": op7_mixing,
     "op8_quality": op8_quality,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 SQL: dict[str, str] = {}
