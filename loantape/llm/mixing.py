@@ -18,6 +18,7 @@ from loantape.operators.skew import small_or_none
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
+BLANKS = " \t\n\x0b\f\r"
 SHARE = 1.5
 MOST = 2
 BLOCK = 32
@@ -110,7 +111,7 @@ def mix(
     source_col: str = "source",
     weights=WEIGHTS,
     share: float = SHARE,
-    most: float = MOST,
+    most: int = MOST,
     block: int = BLOCK,
     seed: int = SEED,
 ) -> DataFrame:
@@ -122,14 +123,68 @@ def mix(
     which of them gets which share is open, the shares are not. An empty table stays empty, and a
     table without words takes none.
     """
-    rows = stored(
-        docs.select(
-            F.col(id_col).alias("doc_id"),
-            F.col(source_col).cast("string").alias("source"),
-            F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-        ),
-        "sizes",
+    rows = stored(_sized(docs, id_col, text_col, source_col), "sizes")
+    placed = _placed(rows, weights, share, most, block, seed)
+    part = _words_before(F.col("__end"), block) - _words_before(F.col("__end") - F.col("size"), block)
+    taken = F.col("__passes") * F.col("size") + part
+    return placed.select(
+        "doc_id", "size", "source", "source_size", "target", taken.cast("bigint").alias("taken")
     )
+
+
+def mixed(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights=WEIGHTS,
+    share: float = SHARE,
+    most: int = MOST,
+    block: int = BLOCK,
+    seed: int = SEED,
+) -> DataFrame:
+    """The mix itself: ``docs`` with each row as often as it is taken whole, and once more with the
+    words of the blocks that are taken of it, each with the blanks after it. Rows that nothing is
+    taken of are gone, so the words of the result are what ``mix`` counts."""
+    sized = _sized(docs, id_col, text_col, source_col, F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
+    placed = _placed(sized, weights, share, most, block, seed)
+    start = F.col("__end") - F.col("size")
+    part = _words_before(F.col("__end"), block) - _words_before(start, block)
+    held = placed.select("row", "size", "__passes", "__end", "__rest", "__phase", "__blocks", part.alias("__part"))
+    # A part that is the whole counts as one more pass.
+    whole = F.col("__passes") + F.when(F.col("__part") == F.col("size"), 1).otherwise(0)
+    some = (F.col("__part") > 0) & (F.col("__part") < F.col("size"))
+    times = F.concat(
+        F.array_repeat(F.lit(True), whole.cast("int")), F.when(some, F.array(F.lit(False))).otherwise(F.array().cast("array<boolean>"))
+    )
+    copies = held.where(F.col("size") > 0).select("*", F.explode(times).alias("__whole"))
+    text = F.col(f"row.`{text_col}`")
+    words = F.split(F.ltrim(text, F.lit(BLANKS)), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
+
+    def chosen(word: Column, i: Column) -> Column:
+        at = _div(start + i, F.lit(block))
+        before = _div(at * F.col("__rest") + F.col("__phase"), F.col("__blocks"))
+        return _div((at + 1) * F.col("__rest") + F.col("__phase"), F.col("__blocks")) > before
+
+    cut = F.rtrim(F.array_join(F.filter(words, chosen), ""), F.lit(BLANKS))
+    columns = [F.col(f"row.`{c}`") for c in docs.columns if c != text_col]
+    made = copies.select(*columns, F.when(F.col("__whole"), text).otherwise(cut).alias(text_col))
+    return made.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, row: Column | None = None) -> DataFrame:
+    words = F.regexp_count(F.col(f"`{text_col}`"), F.lit(WORD))
+    return docs.select(
+        F.col(f"`{id_col}`").alias("doc_id"),
+        F.col(f"`{source_col}`").cast("string").alias("source"),
+        F.coalesce(words, F.lit(0)).cast("bigint").alias("size"),
+        *([] if row is None else [row.alias("row")]),
+    )
+
+
+def _placed(rows: DataFrame, weights, share: float, most: int, block: int, seed: int) -> DataFrame:
+    """``rows`` with where they end in their cell's run of words, the cell's number of blocks, the
+    passes that take all of them, and the rest and phase of the one that takes some."""
     sources = rows.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("__n")
     )
@@ -138,8 +193,8 @@ def mix(
     blocks = int((words or 0) * share / block + 0.5)
     per_cell = max(CELL_ROWS, -(-(n or 0) // CELLS))
     dealt = apportion(
-        with_target.withColumn("__all", F.lit(0)).withColumn("__blocks", F.lit(blocks).cast("bigint")),
-        ["__all"], ["source_no"], "target", "__blocks",
+        with_target.withColumn("__all", F.lit(0)).withColumn("__seats", F.lit(blocks).cast("bigint")),
+        ["__all"], ["source_no"], "target", "__seats",
     )
     known = stored(
         with_target.join(dealt, "source_no").select(
@@ -150,8 +205,7 @@ def mix(
     )
     side = small_or_none(known)
     named = rows.join(known if side is None else side, F.col("source").eqNullSafe(F.col("__name")))
-    cell = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("__cells"))
-    named = named.withColumn("__cell", cell)
+    named = named.withColumn("__cell", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("__cells")))
     sizes = named.groupBy("source_no", "__cell").agg(
         F.sum("size").alias("__cell_size"), F.first("__quota").alias("__quota")
     )
@@ -166,11 +220,8 @@ def mix(
     placed = named.withColumn("__end", end).join(quotas, ["source_no", "__cell"])
     blocks_here = F.greatest(F.ceil(F.col("__cell_size") / block).cast("bigint"), F.lit(1))
     placed = placed.withColumn("__blocks", blocks_here)
-    placed = placed.withColumn("__due", F.least(F.col("__due"), F.col("__blocks") * int(most)))
-    placed = placed.withColumn("__rest", F.pmod("__due", "__blocks"))
-    placed = placed.withColumn("__phase", F.pmod(F.xxhash64("source_no", "__cell", F.lit(seed)), "__blocks"))
-    some = _words_before(F.col("__end"), block) - _words_before(F.col("__end") - F.col("size"), block)
-    taken = _div(F.col("__due"), F.col("__blocks")) * F.col("size") + some
+    due = F.least(F.col("__due"), F.col("__blocks") * int(most))
+    phase = F.pmod(F.xxhash64("source_no", "__cell", F.lit(seed)), F.col("__blocks"))
     return placed.select(
-        "doc_id", "size", "source", "source_size", "target", taken.cast("bigint").alias("taken")
+        "*", _div(due, F.col("__blocks")).alias("__passes"), F.pmod(due, F.col("__blocks")).alias("__rest"), phase.alias("__phase")
     )

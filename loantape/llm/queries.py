@@ -65,7 +65,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return suffixes.remove_repeats(docs, kept=False).select(
+    return suffixes.remove_repeats(docs, kept=None).select(
         "row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
     )
 

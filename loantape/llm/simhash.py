@@ -111,3 +111,97 @@ def near_duplicates(
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+# Wide fingerprints for similarities well below one: segments that are hashed like fingerprints.
+SEGMENT_BITS = 32
+SEGMENTS = 8
+_SEEDS = (SEED, SEED + 1)
+
+
+def shingles(text: str | None, words: int) -> list[bytes]:
+    tokens = text.encode().lower().split() if text else []
+    return [b" ".join(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1))] if tokens else []
+
+
+def wide_fingerprint(text: str | None, words: int) -> bytes:
+    """256 bits by majority, from two 128-bit hashes of each shingle."""
+    tokens = text.encode().lower().split() if text else []
+    last = max(1, len(tokens) - words + 1) if tokens else 0
+    ones = np.zeros(SEGMENT_BITS * SEGMENTS, np.int64)
+    for low in range(0, last, SLICE):
+        made = bytearray()
+        for i in range(low, min(last, low + SLICE)):
+            shingle = b" ".join(tokens[i : i + words])
+            for seed in _SEEDS:
+                made += xxhash.xxh3_128_digest(shingle, seed)
+        bits = np.unpackbits(np.frombuffer(made, np.uint8).reshape(-1, len(ones) // 8), axis=1)
+        ones += bits.sum(0, dtype=np.int64)
+    return np.packbits(2 * ones > last).tobytes()
+
+
+def similar_documents(
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``doc_id`` and ``component_id`` of every id that is linked to a smaller one, directly or not.
+
+    Two documents are linked if the Jaccard similarity of their sets of shingles is ``similarity``
+    or more; texts without words are alike. At 0.8, fingerprints of 64 bits differ in nine or so,
+    too many for a ball. So 256 bits are cut into segments, each of which emits its variants within
+    one bit; documents that share a variant of some segment are compared by their shingles. All
+    pairs that differ in up to 23 bits meet for certain, and those of similarity 0.9 nearly always.
+
+    Documents of equal fingerprints form one class with the smallest id before variants are made.
+    Rows of one id count as one document, of the text that comes first; rows without id are left out.
+    """
+    prepare(docs.sparkSession)
+    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where("doc_id is not null")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [wide_fingerprint(t.as_py(), words) for t in batch.column(1)]
+            yield pa.record_batch([batch.column(0), pa.array(made, pa.binary())], ["doc_id", "fp"])
+
+    prints = stored(rows.mapInArrow(run, "doc_id bigint, fp binary"), "fingerprints")
+    classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "classes")
+    # Variants of segment number and value, packed into one integer.
+    hexed = [F.conv(F.hex(F.substring("fp", 1 + 4 * i, 4)), 16, 10).cast("bigint") for i in range(SEGMENTS)]
+    segments = F.array(*[h.bitwiseOR(F.lit(i << SEGMENT_BITS)) for i, h in enumerate(hexed)])
+    masks = F.array(*map(F.lit, ball(1, SEGMENT_BITS)))
+    variants = classes.select("doc_id", F.explode(segments).alias("segment")).select(
+        "doc_id", "segment", F.explode(F.transform(masks, lambda m: F.col("segment").bitwiseXOR(m))).alias("variant")
+    )
+    before = F.lag("doc_id").over(Window.partitionBy("variant").orderBy("segment", "doc_id"))
+    met = variants.select(before.alias("a"), F.col("doc_id").alias("b")).where("a is not null")
+    pairs = stored(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [
+                np.unique(np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles(t.as_py(), words)], np.uint64)).tobytes()
+                for t in batch.column(1)
+            ]
+            yield pa.record_batch([batch.column(0), pa.array(made, pa.binary())], ["doc_id", "set"])
+
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = rows.join(wanted, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(hashed, "doc_id bigint, set binary")
+    # One row per id, should ids repeat.
+    sets = stored(sets.groupBy("doc_id").agg(F.min("set").alias("set")), "shingles")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            alike = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                left, right = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                both = len(np.intersect1d(left, right, assume_unique=True))
+                alike.append(both >= similarity * (len(left) + len(right) - both))
+            kept = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"])
+            yield kept.filter(pa.array(alike))
+
+    one = sets.select(F.col("doc_id").alias("ia"), F.col("set").alias("sa"))
+    two = sets.select(F.col("doc_id").alias("ib"), F.col("set").alias("sb"))
+    beside = pairs.join(one, F.col("a") == F.col("ia")).join(two, F.col("b") == F.col("ib")).select("a", "b", "sa", "sb")
+    links = beside.mapInArrow(compare, "a bigint, b bigint")
+    lowest = classes.select(F.col("fp").alias("f"), F.col("doc_id").alias("first"))
+    copies = prints.join(lowest, F.col("fp") == F.col("f")).where("doc_id != first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
+    return components(links.unionByName(copies)).select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))

@@ -227,10 +227,11 @@ def remove_repeats(
     text_col: str = "text",
     width: int = WIDTH,
     block_bytes: int = BLOCK_BYTES,
-    kept: bool = True,
+    kept: str | None = "bytes",
 ) -> DataFrame:
     """``docs`` (the text apart) in a struct ``row``, with ``n_bytes``, ``n_removed``, ``n_spans``
-    (maximal removed runs), ``kept_sha256`` and, if asked, ``kept``, the remaining bytes.
+    (maximal removed runs), ``kept_sha256`` of the remaining bytes and, if asked, ``kept``: these
+    "bytes", or their "text", without the bytes of characters that a removed run cuts through.
 
     Matches never cross documents, strings overlap, and all are judged on the input. A null text is
     empty. Rows that share an id do not remove from one another; a row without an id neither removes
@@ -408,7 +409,7 @@ def remove_repeats(
 
     made = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
     if kept:
-        made.append(("kept", pa.binary()))
+        made.append(("kept", pa.string() if kept == "text" else pa.binary()))
 
     def cut(table: pa.Table, spans: pa.Table) -> pa.Table:
         order, _, texts = _texts(table)
@@ -432,6 +433,8 @@ def remove_repeats(
                 rest = text.as_py().encode() if text.is_valid else b""
                 results[i] = (len(rest), 0, 0, hashlib.sha256(rest).hexdigest(), rest)
         columns = list(zip(*results)) or [[]] * 5
+        if kept == "text":
+            columns[4] = [rest.decode("utf-8", "ignore") for rest in columns[4]]
         return pa.table([table["row"], *(pa.array(c, t) for c, (_, t) in zip(columns, made))], ["row", *(n for n, _ in made)])
 
     offered = rows.groupBy("block").applyInArrow(offer, "bucket bigint, block bigint, keys binary")
