@@ -256,6 +256,7 @@ def tokenise(
         arrays = [pa.array(made[n], types[COLUMNS[n]]) for n in names]
         return pa.StructArray.from_arrays(arrays, names)
 
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in names]
-    held = docs.select(*kept, run(F.col(f"`{text_col}`")).alias("__tokens"))
-    return held.select(*kept, *(F.col(f"__tokens.{n}") for n in names))
+    kept = [c for c in docs.columns if c not in names]
+    row = F.struct(*[F.col(f"`{c}`") for c in kept])
+    held = docs.select(row.alias("row"), run(F.col(f"`{text_col}`")).alias("made"))
+    return held.select(*[F.col(f"row.`{c}`") for c in kept], *[F.col(f"made.{n}") for n in names])

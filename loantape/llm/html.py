@@ -273,6 +273,7 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
             [pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], ["text", "n_chars"]
         )
 
-    kept = [F.col(f"`{c}`") for c in pages.columns if c not in ("text", "n_chars")]
-    held = pages.select(*kept, run(F.col(f"`{html_col}`")).alias("__main"))
-    return held.select(*kept, "__main.text", "__main.n_chars")
+    kept = [c for c in pages.columns if c not in ("text", "n_chars")]
+    row = F.struct(*[F.col(f"`{c}`") for c in kept])
+    held = pages.select(row.alias("row"), run(F.col(f"`{html_col}`")).alias("made"))
+    return held.select(*[F.col(f"row.`{c}`") for c in kept], "made.text", "made.n_chars")

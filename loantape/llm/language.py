@@ -173,10 +173,10 @@ def identify(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
             pred, sure = score(texts.to_pylist(), langs, logp.value)
             return pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(sure)], ["lang_pred", "score"])
 
-        answer = best(F.col(text_col))
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]
-    held = docs.select(*kept, answer.alias("__language"))
-    return held.select(*kept, "__language.lang_pred", "__language.score")
+        answer = best(F.col(f"`{text_col}`"))
+    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), answer.alias("made"))
+    return held.select(*[F.col(f"row.`{c}`") for c in kept], "made.lang_pred", "made.score")
 
 
 def held_out(id_col: str = "doc_id") -> Column:

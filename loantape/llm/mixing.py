@@ -21,7 +21,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 BLANKS = " \t\n\x0b\f\r"
 SHARE = 1.5
 MOST = 2
-BLOCK = 32
+BLOCK = 8
 SEED = 20_240_101
 # Documents per cell; more where there would otherwise be more than so many cells.
 CELL_ROWS = 256
@@ -167,9 +167,10 @@ def mixed(
         return _div((at + 1) * F.col("__rest") + F.col("__phase"), F.col("__blocks")) > before
 
     cut = F.rtrim(F.array_join(F.filter(words, chosen), ""), F.lit(BLANKS))
-    columns = [F.col(f"row.`{c}`") for c in docs.columns if c != text_col]
-    made = copies.select(*columns, F.when(F.col("__whole"), text).otherwise(cut).alias(text_col))
-    return made.select(*[F.col(f"`{c}`") for c in docs.columns])
+    made = copies.select("row", F.when(F.col("__whole"), text).otherwise(cut).alias("taken"))
+    return made.select(
+        *[F.col("taken").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns]
+    )
 
 
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, row: Column | None = None) -> DataFrame:
