@@ -22,13 +22,9 @@ STATES = (
     "NE NH NJ NM NV NY OH OK OR PA PR RI SC SD TN TX UT VA VI VT WA WI WV WY"
 ).split()
 
-# Three-digit postal prefixes run from 005 to 999; these are not in use.
-UNUSED_ZIP3 = (
-    "090 091 093 094 096 097 098 099 269 340 353 399 419 428 429 459 509 517 519 529 568 569 578 "
-    "579 589 621 643 659 663 682 694 695 696 697 698 699 702 709 715 732 742 771 817 818 819 839 "
-    "848 849 861 866 867 868 869 885 886 887 888 896 899 909 938"
-).split()
-ZIP3 = [code for code in (f"{n:03d}" for n in range(5, 1000)) if code not in UNUSED_ZIP3]
+# Three-digit postal prefixes run from 005 to 999. Which of them are assigned changes, so the list is
+# a parameter (``zip3_codes``); without one, every code of that form is legal.
+ZIP3_PATTERN = "^(00[5-9]|0[1-9][0-9]|[1-9][0-9]{2})$"
 
 # Retired area codes and the codes that replaced them.
 MSA_RECODE = {
@@ -133,7 +129,7 @@ TAPE_FIELDS = check_specs([
         31, "msa", "msa/division code, missing/not in MSA=XXXXX", "XXXXX", NO_MSA,
         pattern=MSA_PATTERN, width=5,
     ),
-    _code(32, "zip3", "3-digit zip , missing=XXX", ZIP3, missing="XXX", width=3),
+    _text(32, "zip3", "3-digit zip , missing=XXX", "XXX", pattern=ZIP3_PATTERN, width=3),
     _float(33, "mi", "mi percentage, 0-55, missing=-1", 0.0, 55.0, 0.0),
     _code(34, "amType", "amortization type: FRM, ARM, missing=XXX", ("FRM", "ARM"),
           missing="XXX", width=3),
@@ -238,7 +234,7 @@ ROLLUP_FIELDS = check_specs([
     _text(None, "field", "field name", ""),
     FieldSpec("cntFail", "int", 0, comment="# of months field failed qa"),
     _text(None, "allFail", "fields that failed QA all months", ""),
-    FieldSpec("part", "int", 0, comment="piece of a timeline too long for one row, from 0"),
+    FieldSpec("nMonths", "long", 0, comment="number of months"),
 ])
 
 MONTHLY_FIELDS = check_specs([*TAPE_FIELDS, *EXTENDED_FIELDS, *DERIVED_FIELDS])
@@ -252,9 +248,12 @@ def column_names(width: int) -> list[str]:
 
 
 def fields(
-    names: Iterable[str] | None = None, msa_codes: Iterable[str] | None = None
+    names: Iterable[str] | None = None,
+    msa_codes: Iterable[str] | None = None,
+    zip3_codes: Iterable[str] | None = None,
 ) -> list[FieldSpec]:
-    """Tape fields, optionally some of them only and with an explicit list of legal area codes.
+    """Tape fields, optionally some of them only and with explicit lists of legal codes for areas
+    and postal prefixes.
 
     Retired area codes stay legal whatever the list, because they are replaced after the check.
     """
@@ -262,6 +261,9 @@ def fields(
     if msa_codes is not None:
         legal = sorted({*msa_codes, *MSA_RECODE, NO_MSA})
         specs = [f.with_levels(legal) if f.name == "msa" else f for f in specs]
+    if zip3_codes is not None:
+        legal = sorted(set(zip3_codes))
+        specs = [f.with_levels(legal) if f.name == "zip3" else f for f in specs]
     if names is not None:
         wanted = set(names)
         unknown = wanted - {f.name for f in specs}

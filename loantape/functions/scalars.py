@@ -8,6 +8,11 @@ from typing import Any
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# A number in digits that a 32-bit fraction can hold, with or without exponent.
+NUMBER = (
+    r"^\s*[+-]?(([0-9]{1,37}(\.[0-9]*)?|\.[0-9]+)|([0-9]{1,8}(\.[0-9]*)?|\.[0-9]+)[eE][+-]?[0-2]?[0-9])\s*$"
+)
+
 
 def parse(text: Column, kind: str) -> Column:
     """Text as a value of the given kind, NULL where it does not convert.
@@ -15,13 +20,16 @@ def parse(text: Column, kind: str) -> Column:
     Dates are written MMyyyy. A failing ``try_cast`` to a number or ``try_to_date`` throws and
     catches an exception inside, at some 100 times the price of a good value. So empty texts, which
     are common, are set apart first, and dates go through a cast from ISO form, which throws nothing.
+    A fraction must look like one: Java would also read a type suffix (1d, 2.5f), NaN and Infinity.
     """
     if kind == "string":
         return text
     if kind == "date":
         iso = F.concat(F.substring(text, 3, 4), F.lit("-"), F.substring(text, 1, 2), F.lit("-01"))
         return F.when(F.length(text) == 6, iso.try_cast("date"))
-    return F.when(text != "", text.try_cast({"int": "int", "long": "bigint", "float": "float"}[kind]))
+    if kind == "float":
+        return F.when(text.rlike(NUMBER), text.try_cast("float"))
+    return F.when(text != "", text.try_cast({"int": "int", "long": "bigint"}[kind]))
 
 
 def conditional(test: Column, yes: Any, no: Any) -> Column:

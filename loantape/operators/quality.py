@@ -102,10 +102,13 @@ def qa_all_fail(profile: Column, n_rows: Column) -> Column:
 
 
 def join_qa(df: DataFrame, profile: DataFrame, keys: Iterable[str], name: str = QA) -> DataFrame:
-    """Profiles attached to their groups, an empty array where there is none."""
+    """Profiles attached to their groups, an empty array where there is none; NULL keys match."""
     keys = list(keys)
     none = F.array().cast(PROFILE_TYPE)
-    rest = [F.col(c) for c in df.columns if c not in keys]
-    return df.join(profile, keys, "left").select(
-        *keys, *rest, F.coalesce(F.col(name), none).alias(name)
+    known = profile.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col(name).alias("__profile"))
+    match = F.lit(True)
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return df.join(known, match, "left").select(
+        *df.columns, F.coalesce(F.col("__profile"), none).alias(name)
     )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,19 +15,30 @@ from pyspark.sql.window import Window
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 COPIES = "__copies"
+COPIES_PER_ROW = 1_000_000
+# Rows of large groups that one task ranks.
+RANGE_ROWS = 1_000_000
+
+
+@lru_cache(maxsize=None)
+def _local_dir(app: str) -> str:
+    return tempfile.mkdtemp(prefix="loantape-")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see, from ``spark.checkpoint.dir``; a temporary one in local mode."""
+    """The folder all executors see, from ``spark.checkpoint.dir``.
+
+    Raises where it is not set, except in one process (``local[n]``), which has a folder of its own.
+    """
     known = spark.conf.get("spark.checkpoint.dir", None)
     if known:
         return known
     context = spark.sparkContext
     if context.getCheckpointDir():
         return context.getCheckpointDir()
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return tempfile.mkdtemp(prefix="loantape-")
+    return _local_dir(context.applicationId)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -65,10 +78,7 @@ def hot_groups(df: DataFrame, keys: Iterable[str], limit: int) -> DataFrame | No
     rest of a plan treats each group and must not change under it.
     """
     keys = list(keys)
-    hot = group_sizes(df, keys).where(F.col("n_rows") > limit)
-    if hot.isEmpty():
-        return None
-    return small_or_none(checkpointed(hot))
+    return small_or_none(checkpointed(group_sizes(df, keys).where(F.col("n_rows") > limit)))
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Iterable[str]) -> Column:
@@ -96,33 +106,43 @@ def expand_copies(df: DataFrame, piece: int | None = None) -> DataFrame:
     return cut.withColumn(COPIES, F.least(left, F.lit(piece).cast("bigint")))
 
 
-def sort_rows(df: DataFrame, by: Iterable[str], limit: int | None = 1_000_000) -> DataFrame:
-    """Global sort. Where more than ``limit`` rows share a sort key, ties are broken by all other
-    columns and exact copies travel collapsed, so that no range of the sort holds them all."""
+def sort_rows(df: DataFrame, by: Iterable[str], copies: bool = False) -> DataFrame:
+    """Global sort; ties are broken by all other columns, so rows of one key spread over ranges.
+
+    Only exact copies of a row cannot be told apart. Where one row may make up a good part of the
+    table, ``copies`` lets them travel collapsed, for one more shuffle; the order is the same.
+    """
     by = list(by)
-    if limit is None or hot_groups(df, by, limit) is None:
-        return df.orderBy(*by)
     rest = [c for c in df.columns if c not in by]
-    pieces = expand_copies(collapse_copies(df, df.columns), limit)
-    ordered = pieces.orderBy(*by, *rest, "__piece").drop("__piece")
-    return expand_copies(ordered)
+    if not copies:
+        return df.orderBy(*by, *rest)
+    pieces = expand_copies(collapse_copies(df, df.columns), COPIES_PER_ROW)
+    return expand_copies(pieces.orderBy(*by, *rest, "__piece").drop("__piece"))
 
 
 def rank_pieces(
-    df: DataFrame, keys: Iterable[str], order: Column, item: Column, limit: int
+    df: DataFrame,
+    keys: Iterable[str],
+    order: Column,
+    item: Column,
+    limit: int,
+    n_rows: int = 0,
 ) -> DataFrame:
     """Rank the rows of large groups and cut each group into pieces of ``limit`` rows.
 
     Gives keys, ``part`` (from 0), ``order``, ``item`` and the number of copies of that item in
     that piece. No task sees a whole group: copies collapse before the shuffle, rows are spread by
-    ranges of (keys, order, item), and ranks follow from the sizes of the ranges before.
+    ranges of (keys, order, item), and ranks follow from the sizes of the ranges before. There are
+    as many ranges as ``n_rows``, the rows to expect, ask for.
     """
     keys = list(keys)
     packed = df.select(*keys, order.alias("__order"), item.alias("__item"))
     rows = collapse_copies(packed, [*keys, "__order", "__item"])
     by = [*keys, "__order", "__item"]
     # Stored, because range bounds are drawn anew whenever a plan runs.
-    ranged = checkpointed(rows.repartitionByRange(*by).withColumn("__range", F.spark_partition_id()))
+    n_ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_rows // RANGE_ROWS)
+    ranged = rows.repartitionByRange(n_ranges, *by)
+    ranged = checkpointed(ranged.withColumn("__range", F.spark_partition_id()))
     before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy(*keys, "__range")

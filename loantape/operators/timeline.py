@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from loantape.operators import skew
 
-# No loan lives this many months; longer groups are repeated deliveries or blank ids.
-MAX_ROWS = 4096
+# Months in one piece of a timeline. No loan lives as long; longer groups are repeated deliveries or
+# blank ids.
+PIECE = 4096
 
 
 def order_key(month: Column, *tie: Column) -> Column:
@@ -43,17 +44,18 @@ def timeline(
     order: Column,
     fields: Mapping[str, Column],
     name: str = "monthly",
-    max_rows: int | None = MAX_ROWS,
+    piece: int | None = PIECE,
 ) -> DataFrame:
-    """One row per group with its rows as ``array<struct>`` in order, and ``part`` = 0.
+    """Each group's rows in order as ``array<struct>``, in pieces of ``piece`` elements: ``part`` 0,
+    1, … is a row's rank in its group divided by ``piece``.
 
-    A group of more than ``max_rows`` rows comes out as several rows, ``part`` 0, 1, … of at most
-    that many elements each; together they hold the whole group. ``max_rows=None`` skips the
-    check where groups are known to be small.
+    Groups of one piece are gathered in one aggregation; longer ones are found by a count of the
+    keys and ranked without bringing them together. ``piece=None`` skips the count and puts all of
+    a group in ``part`` 0, where groups are known to be small.
     """
     keys = list(keys)
     item = nest(fields)
-    hot = None if max_rows is None else skew.hot_groups(df, keys, max_rows)
+    hot = None if piece is None else skew.hot_groups(df, keys, piece)
 
     def whole(rows: DataFrame) -> DataFrame:
         out = rows.groupBy(*keys).agg(gathered(order, item).alias(name))
@@ -62,7 +64,8 @@ def timeline(
     if hot is None:
         return whole(df)
     match = skew.null_safe(df, hot, keys)
-    pieces = skew.rank_pieces(df.join(hot, match, "left_semi"), keys, order, item, max_rows)
+    n_rows = hot.agg(F.sum("n_rows")).first()[0]
+    pieces = skew.rank_pieces(df.join(hot, match, "left_semi"), keys, order, item, piece, n_rows)
     return whole(df.join(hot, match, "left_anti")).unionByName(
         skew.gather_pieces(pieces, keys, name).select(*keys, "part", name)
     )

@@ -14,7 +14,7 @@ from loantape.functions.scalars import age_fp, harp_flag, month_end
 from loantape.operators import aggregate as A
 from loantape.operators import quality, skew
 from loantape.operators.links import link_predecessor, link_successor
-from loantape.operators.timeline import MAX_ROWS, gathered, nest, order_key, row_hash
+from loantape.operators.timeline import PIECE, gathered, nest, order_key, row_hash, timeline
 
 KEYS = ["file", "lnId"]
 
@@ -97,7 +97,7 @@ def loan_rollup(
     id_map: DataFrame | None = None,
     tie: Iterable[str] | None = None,
     compat: bool = True,
-    max_rows: int | None = MAX_ROWS,
+    piece: int | None = PIECE,
 ) -> DataFrame:
     """One row per file and loan: timeline, static values, quality profile and links.
 
@@ -105,20 +105,20 @@ def loan_rollup(
     ``compat=False`` corrects four habits of the data model: ``pPen`` is not inverted, means of zero
     stand, default zeros do not enter ``coFico``, and a default zero does not beat a negative amount.
 
-    A loan of more than ``max_rows`` rows has several rows, ``part`` 0, 1, …, each with a slice of
-    the timeline and all other columns alike. Such loans are found by one count of the key columns;
-    ``max_rows=None`` skips it. ``monthly`` should be a stored table, as the count reads it, too.
+    ``nMonths`` is the number of months, ``monthly`` holds the first ``piece`` of them: all, for any
+    real loan. What a longer group has beyond (a blank id, say) is in ``loan_timelines`` as ``part``
+    1, 2, …, cut by the same rule; there is one row per loan here whatever its size. Long groups are
+    found by one count of the key columns and take another plan; ``piece=None`` skips the count and
+    keeps every timeline whole. ``monthly`` should be a stored table, as the count reads it, too.
     """
-    rows = star_plus(monthly)
-    ties = [F.col(t) for t in tie] if tie is not None else [row_hash(monthly)]
-    rows = rows.withColumn("__order", order_key(F.col("month"), *ties))
-    hot = None if max_rows is None else skew.hot_groups(monthly, KEYS, max_rows)
+    rows = _ordered(monthly, tie)
+    hot = None if piece is None else skew.hot_groups(monthly, KEYS, piece)
     if hot is None:
         loans = _whole_loans(rows, compat)
     else:
         match = skew.null_safe(rows, hot, KEYS)
         loans = _whole_loans(rows.join(hot, match, "left_anti"), compat).unionByName(
-            _long_loans(rows.join(hot, match, "left_semi"), compat, max_rows)
+            _long_loans(rows.join(hot, match, "left_semi"), hot, compat, piece)
         )
     if id_map is None:
         loans = loans.withColumns({"harpLnId": F.lit(""), "preHarpId": F.lit("")})
@@ -127,6 +127,28 @@ def loan_rollup(
     return loans.select(*loan_schema().names).to(loan_schema())
 
 
+def loan_timelines(
+    monthly: DataFrame, tie: Iterable[str] | None = None, piece: int = PIECE, first: int = 0
+) -> DataFrame:
+    """``file``, ``lnId``, ``part`` and ``monthly``: all timelines in pieces, from ``part`` ``first``.
+
+    Parts 0 are what ``loan_rollup`` shows; with ``first=1`` only loans longer than that have rows.
+    """
+    rows = _ordered(monthly, tie)
+    if first:
+        hot = skew.hot_groups(monthly, KEYS, piece)
+        rows = rows.limit(0) if hot is None else rows.join(hot, skew.null_safe(rows, hot, KEYS), "left_semi")
+    items = {f.name: F.col(f"__item.{f.name}") for f in rows.select(timeline_item().alias("i")).schema["i"].dataType}
+    packed = rows.select(*KEYS, "__order", timeline_item().alias("__item"))
+    pieces = timeline(packed, KEYS, F.col("__order"), items, "monthly", piece)
+    return pieces.where(F.col("part") >= first).select(*KEYS, "part", "monthly")
+
+
+def _ordered(monthly: DataFrame, tie: Iterable[str] | None) -> DataFrame:
+    ties = [F.col(t) for t in tie] if tie is not None else [row_hash(monthly)]
+    return star_plus(monthly).withColumn("__order", order_key(F.col("month"), *ties))
+
+
 def _finished(grouped: DataFrame) -> DataFrame:
     """Columns that follow from a loan's aggregates."""
     first = [F.col(f"__first.{n}").alias(n) for n in FIRST_ROW]
@@ -134,8 +156,9 @@ def _finished(grouped: DataFrame) -> DataFrame:
     return grouped.select(
         *plain,
         *first,
+        F.col("__n").alias("nMonths"),
         harp_flag(F.col("file")).alias("harp"),
-        bucket(F.col("lnId")).alias("bucket"),
+        bucket(F.coalesce("lnId", F.lit(""))).alias("bucket"),
         quality.qa_all_fail(F.col("qa"), F.col("__n")).alias("allFail"),
     )
 
@@ -150,19 +173,26 @@ def _whole_loans(rows: DataFrame, compat: bool) -> DataFrame:
         *[agg.alias(name) for name, agg in static_aggregates(order, compat).items()],
     )
     profiled = grouped.withColumn("qa", quality.profile_of_tokens(F.col("__tokens")))
-    return _finished(profiled.drop("__tokens").withColumn("part", F.lit(0)))
+    return _finished(profiled.drop("__tokens"))
 
 
-def _long_loans(rows: DataFrame, compat: bool, max_rows: int) -> DataFrame:
-    """Loans too long for one task: aggregates combine before the shuffle, timelines are cut."""
+def _long_loans(rows: DataFrame, hot: DataFrame, compat: bool, piece: int) -> DataFrame:
+    """Loans too long for one task: aggregates combine before the shuffle, and of the timelines only
+    first pieces, one per loan, meet them."""
     order = F.col("__order")
     statics = rows.groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("__n"),
         *[agg.alias(name) for name, agg in static_aggregates(order, compat).items()],
     )
     profiled = quality.join_qa(statics, quality.qa_profile(rows, KEYS), KEYS)
-    pieces = skew.rank_pieces(rows, KEYS, order, timeline_item(), max_rows)
-    return _finished(skew.gather_pieces(pieces, KEYS, "monthly").join(profiled, KEYS))
+    n_rows = hot.agg(F.sum("n_rows")).first()[0]
+    pieces = skew.rank_pieces(rows, KEYS, order, timeline_item(), piece, n_rows)
+    first = skew.gather_pieces(pieces.where(F.col("part") == 0), KEYS, "monthly")
+    named = first.select(*[F.col(k).alias(f"__{k}") for k in KEYS], "monthly")
+    match = F.lit(True)
+    for k in KEYS:
+        match = match & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return _finished(profiled.join(named, match).drop(*[f"__{k}" for k in KEYS]))
 
 
 def _field(name: str) -> T.StructField:
@@ -187,6 +217,6 @@ def loan_schema() -> T.StructType:
             T.StructField(
                 "allFail", T.ArrayType(T.StringType()), True, {"comment": all_fail.comment}
             ),
-            _field("part"),
+            _field("nMonths"),
         ]
     )

@@ -87,5 +87,5 @@ LISTING = [
     ("qa.field", "array<string>", "field name"),
     ("qa.cntFail", "array<int>", "# of months field failed qa"),
     ("allFail", "array<string>", "fields that failed QA all months"),
-    ("part", "int", "piece of a timeline too long for one row, from 0"),
+    ("nMonths", "bigint", "number of months"),
 ]

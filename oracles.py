@@ -8,10 +8,8 @@ from __future__ import annotations
 from loantape.catalogue import (
     EXTENDED_FIELDS,
     FIELDS,
-    MSA_PATTERN,
     MSA_RECODE,
     TAPE_FIELDS,
-    UNUSED_ZIP3,
 )
 from oracle_listing import LISTING
 
@@ -42,20 +40,24 @@ def typed(spec, text=None) -> str:
     if spec.kind == "date":
         iso = f"substr({t},3,4) || '-' || substr({t},1,2) || '-01'"
         return f"case when regexp_matches({t}, '^[0-9]{{6}}$') then try_cast({iso} as date) end"
-    return f"try_cast(nullif({t}, '') as {'float' if spec.kind == 'float' else 'int'})"
+    if spec.kind == "float":
+        number = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+        return f"case when regexp_matches({t}, '{number}') then try_cast({t} as float) end"
+    return f"try_cast(nullif({t}, '') as int)"
 
 
 def legal(spec, value) -> str:
     if spec.name == "zip3":
-        unused = ",".join(quoted(z) for z in UNUSED_ZIP3)
+        return f"regexp_matches({value}, '^[0-9]{{3}}$') and {value} >= '005'"
+    if spec.name == "msa":
         return (
-            f"regexp_matches({value}, '^[0-9]{{3}}$') and {value} >= '005' "
-            f"and {value} not in ({unused})"
+            f"({value} = '00000' or (regexp_matches({value}, '^[0-9]{{5}}$') "
+            f"and {value} between '10000' and '49999'))"
         )
     if spec.levels is not None:
         return f"{value} in ({','.join(quoted(x) for x in spec.levels)})"
     if spec.pattern is not None:
-        return f"regexp_matches({value}, {quoted(MSA_PATTERN)})"
+        raise NotImplementedError(spec.name)
     if spec.kind == "date":
         high = f"cast({AS_OF} + interval {spec.horizon} month as date)"
         return f"{value} >= DATE '1999-01-01' and {value} <= {high}"
@@ -207,12 +209,12 @@ FIRST_TEXTS = {
 }
 FIRST_ROW = ["standard", "nsDoc", "nsUw", "gGuar", "negAm"]
 TIMELINE = {
-    "month": "last_day(month)", "upb": "cast(upb as bigint)", "dq": "dq",
-    "servicer": "lower(servicer)", "curRate": "cast(curRate as bigint)", "age": "age",
+    "month": "last_day(month)", "upb": "cast(round(cast(upb as double) * 100) as bigint)", "dq": "dq",
+    "servicer": "lower(servicer)", "curRate": "cast(round(cast(curRate as double) * 100) as bigint)", "age": "age",
     "ageFpDt": "ageFpDt", "rTermLgl": "rTermLgl", "rTermAct": "rTermAct", "dqStat": "dqStat",
     "mod": "mod", "zb": "zb", "ioRem": "ioRem", "bap": "bap", "program": "program",
-    "nonIntUpb": "cast(nonIntUpb as bigint)", "frgvUpb": "cast(frgvUpb as bigint)",
-    "totPrin": "cast(totPrin as bigint)", "servAct": "servAct", "matDt": "matDt",
+    "nonIntUpb": "cast(round(cast(nonIntUpb as double) * 100) as bigint)", "frgvUpb": "cast(round(cast(frgvUpb as double) * 100) as bigint)",
+    "totPrin": "cast(round(cast(totPrin as double) * 100) as bigint)", "servAct": "servAct", "matDt": "matDt",
 }
 
 STATICS = {
@@ -243,26 +245,45 @@ profile as (select file, lnId,
  string_agg(field || '=' || cntFail, ';' order by field) as qa from counts group by file, lnId),
 allfail as (select c.file, c.lnId, string_agg(field, ';' order by field) as allFail
  from counts c join (select file, lnId, count(*) as n from monthly group by file, lnId) m
- on m.file = c.file and m.lnId = c.lnId and c.cntFail = m.n group by c.file, c.lnId)"""
+ on m.file = c.file and m.lnId is not distinct from c.lnId and c.cntFail = m.n
+ group by c.file, c.lnId)"""
 
 
-def rollup(max_rows=None) -> str:
-    part = "0" if max_rows is None else f"(row_number() over loan - 1) // {max_rows}"
+# A third of all rows under a blank id and some under none.
+BLANK_ID = "case when dti % 3 = 0 then '' when dti % 17 = 1 then null else lnId end"
+
+
+def blanked(sql) -> str:
+    """The same SQL on the panel with blank and NULL ids."""
+    plain = sql.replace("monthly as (select file, standard,", "plain as (select file, standard,")
+    named = f"\nmonthly as (select * replace ({BLANK_ID} as lnId) from plain),\naged as (select *,"
+    return plain.replace("\naged as (select *,", named)
+
+
+def rollup(piece=None, lines=True) -> str:
+    """One row per loan; ``lines``: with the first ``piece`` months of the timeline as texts."""
     statics = ", ".join(f"{sql} as {n}" for n, sql in STATICS.items())
-    lines = ", ".join(f"{joined(sql)} as monthly_{n}" for n, sql in TIMELINE.items())
+    texts = "".join(f", {joined(sql)} as monthly_{n}" for n, sql in TIMELINE.items()) if lines else ""
+    rank = "" if piece is None else f"where rank <= {piece}"
+    same = lambda x: f"{x}.file is not distinct from s.file and {x}.lnId is not distinct from s.lnId"
     return f"""with {TOKENS}, {PROFILE}, {MAP},
-statics as (select file, lnId, {flag("contains(lower(file), 'harp')")} as harp, {statics}
- from monthly group by file, lnId),
-pieces as (select *, cast({part} as int) as part from aged
- window loan as (partition by file, lnId order by {ORD})),
-lines as (select file, lnId, part, {lines} from pieces group by file, lnId, part)
-select l.*, s.* exclude (file, lnId), cast(({BUCKET.replace("lnId", "s.lnId")}) % 20 as int) as bucket,
+statics as (select file, lnId, count(*) as nMonths,
+ {flag("contains(lower(file), 'harp')")} as harp, {statics} from aged group by file, lnId),
+ranked as (select *, row_number() over (partition by file, lnId order by {ORD}) as rank from aged),
+lines as (select file, lnId{texts} from ranked {rank} group by file, lnId)
+select l.*, s.* exclude (file, lnId), cast(({BUCKET.replace("lnId", "coalesce(s.lnId, '')")}) % 20 as int) as bucket,
  coalesce(a.harpLnId, '') as harpLnId, coalesce(b.oldLnId, '') as preHarpId,
  coalesce(p.qa, '') as qa, coalesce(f.allFail, '') as allFail
-from lines l join statics s on s.file = l.file and s.lnId = l.lnId
+from lines l join statics s on {same("l")}
  left join id_map a on a.oldLnId = s.lnId left join id_map b on b.harpLnId = s.lnId
- left join profile p on p.file = s.file and p.lnId = s.lnId
- left join allfail f on f.file = s.file and f.lnId = s.lnId"""
+ left join profile p on {same("p")} left join allfail f on {same("f")}"""
+
+
+def timelines(piece) -> str:
+    return f"""with {MONTHLY}, ranked as (select *,
+ (row_number() over (partition by file, lnId order by {ORD}) - 1) // {piece} as part from aged)
+select file, lnId, cast(part as int) as part, {joined(TIMELINE["dq"])} as dq, {joined(TIMELINE["upb"])} as upb
+from ranked group by file, lnId, part"""
 
 
 def fields(*names) -> list:
@@ -529,6 +550,9 @@ select event_type, part, kind, count(*) as n from ranked group by event_type, pa
     "group by file, lnId",
     "loan_rollup": rollup(),
     "loan_rollup_parts": rollup(3),
+    "loan_rollup_blank": blanked(rollup(lines=False)),
+    "loan_rollup_blank_parts": blanked(rollup(lines=False)),
+    "loan_timelines": blanked(timelines(5)),
     "loan_rollup_strict": per_loan(
         pPen=any_y("pPen"),
         coFico=f"cast(trunc({strict_mean('coFico', 'coFico not in (-1, 0)')}) as int)",
@@ -550,9 +574,12 @@ from ({COPIES}) m left join counts c on c.file = m.file and c.lnId = m.lnId
 group by m.file, m.lnId""",
     "explode_qa": on_tokens(f"select {ID}, field from tokens"),
     "sort_loan_month": on_monthly(
-        "select lnId, cast(month as varchar) as month, payHist, dq from monthly"
+        "select lnId, cast(month as varchar) as month, payHist, dq, "
+        "row_number() over (order by lnId, month, payHist, dq) - 1 as place from monthly"
+    ),
+    "sort_copies": on_monthly(
+        "select channel, dq, row_number() over (order by channel, dq) - 1 as place from monthly"
     ),
-    "sort_copies": on_monthly("select channel, dq from monthly"),
     "sample_limit": on_monthly(
         "select lnId, cast(month as varchar) as month, payHist, dq from "
         "(select * from monthly order by lnId, month, payHist limit 10)"

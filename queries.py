@@ -8,6 +8,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 import fixtures
 from loantape import catalogue
@@ -715,7 +716,8 @@ def flat_loans(loans: DataFrame) -> DataFrame:
 
     def timeline_text(name):
         items = F.col(f"monthly.{name}")
-        items = items.cast("array<bigint>") if name in FLOATS else items
+        if name in FLOATS:  # in hundredths, as both engines write whole numbers alike
+            items = F.transform(items, lambda x: F.round(x.cast("double") * 100).cast("bigint"))
         return text_of(items.cast("array<string>")).alias(f"monthly_{name}")
 
     def static(name):
@@ -726,7 +728,7 @@ def flat_loans(loans: DataFrame) -> DataFrame:
         return F.col(name)
 
     return loans.select(
-        "lnId", "part", *[timeline_text(n) for n in L.TIMELINE], *[static(n) for n in L.STATICS],
+        "lnId", "nMonths", *[timeline_text(n) for n in L.TIMELINE], *[static(n) for n in L.STATICS],
         "bucket", "harpLnId", "preHarpId", profile_text(F.col("qa")).alias("qa"),
         text_of(F.col("allFail")).alias("allFail"),
     )
@@ -739,8 +741,42 @@ def loan_rollup(spark, sf):
 
 @query
 def loan_rollup_parts(spark, sf):
-    """As ``loan_rollup``, with all loans of more than three months cut into pieces."""
-    return flat_loans(_rollup(spark, sf, max_rows=3))
+    """As ``loan_rollup``, by the plan for loans too long for one row: first pieces of three months."""
+    return flat_loans(_rollup(spark, sf, piece=3))
+
+
+def _blank(spark, sf):
+    """The panel with a third of all rows under a blank loan id and some under none."""
+    lnid = F.when(F.col("dti") % 3 == 0, "").when(F.col("dti") % 17 == 1, F.lit(None)).otherwise(F.col("lnId"))
+    rows = monthly(spark, sf).withColumn("lnId", lnid)
+    return tables.write_monthly(rows, new_folder(spark, "blank"))
+
+
+def _flat_blank(spark, sf, piece):
+    rolled = L.loan_rollup(_blank(spark, sf), fixtures.id_map(spark, sf), tie=["payHist"], piece=piece)
+    return flat_loans(rolled).drop(*[f"monthly_{n}" for n in L.TIMELINE])
+
+
+@query
+def loan_rollup_blank(spark, sf):
+    """One row per loan, blank and NULL ids too, where all loans fit one row."""
+    return _flat_blank(spark, sf, None)
+
+
+@query
+def loan_rollup_blank_parts(spark, sf):
+    """The same where most loans do not."""
+    return _flat_blank(spark, sf, 2)
+
+
+@query
+def loan_timelines(spark, sf):
+    """All timelines, of blank and NULL ids too, in pieces of five months."""
+    pieces = L.loan_timelines(_blank(spark, sf), tie=["payHist"], piece=5)
+    return pieces.select(
+        *KEYS, "part", text_of(F.transform("monthly", lambda m: m["dq"].cast("string"))).alias("dq"),
+        text_of(F.transform("monthly", lambda m: F.round(m["upb"].cast("double") * 100).cast("bigint").cast("string"))).alias("upb"),
+    )
 
 
 @query
@@ -792,10 +828,22 @@ def explode_qa(spark, sf):
     return quality.explode_qa(monthly(spark, sf), ID)
 
 
+def _numbered(ordered: DataFrame) -> DataFrame:
+    """Rows with their place in the order they come in: partition by partition."""
+    held = ordered.withColumn("__id", F.monotonically_increasing_id())
+    held = held.withColumn("__part", F.shiftright("__id", 33).cast("int"))
+    held = skew.checkpointed(held)
+    sizes = held.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    place = F.col("__start") + F.col("__id") - F.shiftleft(F.col("__part").cast("bigint"), 33)
+    return held.join(F.broadcast(starts), "__part").select(*ordered.columns, place.alias("place"))
+
+
 @query
 def sort_loan_month(spark, sf):
     rows = monthly(spark, sf).select("lnId", "month", "payHist", "dq")
-    ordered = skew.sort_rows(rows, ["lnId", "month"])
+    ordered = _numbered(skew.sort_rows(rows, ["lnId", "month"]))
     return ordered.withColumn("month", F.col("month").cast("string"))
 
 
@@ -803,7 +851,7 @@ def sort_loan_month(spark, sf):
 def sort_copies(spark, sf):
     """A sort on few values, whose copies travel collapsed."""
     rows = monthly(spark, sf).select("channel", "dq")
-    return skew.sort_rows(rows, ["channel"], limit=1000)
+    return _numbered(skew.sort_rows(rows, ["channel"], copies=True))
 
 
 @query

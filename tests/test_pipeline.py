@@ -1,6 +1,7 @@
 """Hand-written tapes through the whole pipeline, one for each way a field can go."""
 
 from datetime import date
+from pathlib import Path
 
 import pytest
 import tapes
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from loantape.plans.build import build_loans
 from loantape.plans.loans import loan_schema
 from loantape.plans.monthly import monthly_table
-from loantape.sinks.tables import describe_table
+from loantape.sinks.tables import describe_table, write_loans
 from loantape.sources import tape
 
 AS_OF = date(2024, 1, 1)
@@ -191,7 +192,7 @@ def test_two_runs_into_one_table(spark, tmp_path):
     assert (old.harp, new.harp, old.bucket, new.bucket) == ("N", "Y", 16, 16)
     assert [tuple(q) for q in old.qa] == [("dti", 3)] and old.allFail == ["dti"]
     assert [tuple(q) for q in new.qa] == [("fico", 1)] and new.allFail == []
-    assert (old.dti, new.fico, new.part) == (-1.0, 700, 0)
+    assert (old.dti, new.fico, new.nMonths) == (-1.0, 700, 3)
     assert [m.upb for m in new.monthly] == [0.0, 1000.0, 2000.0]
     assert excl.qa == [] and excl.allFail == []
     described = describe_table(spark, "two_runs").collect()
@@ -199,7 +200,33 @@ def test_two_runs_into_one_table(spark, tmp_path):
     assert described[1][1:] == ("monthly.month", "array<date>", "month of data, missing=1970/1/1")
     names = [f.name for f in loan_schema().fields]
     assert loans.columns == names
+    assert spark.table("two_runs_months").count() == 0
+    with pytest.raises(ValueError, match="already holds"):
+        build_loans(spark, str(ns), create=False, **options)
+    assert spark.table("two_runs").count() == 3
+    # Staged rows are gone, after the run that failed too.
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    assert not list(shared.glob("monthly-*"))
     spark.sql("DROP TABLE two_runs")
+    spark.sql("DROP TABLE two_runs_months")
+
+
+def test_written_files_hold_ranges_of_the_key(spark, tmp_path):
+    rows = spark.range(4000).select(F.lpad(F.hash("id").cast("string"), 12, "0").alias("lnId"), "id")
+    write_loans(rows.repartition(5), "ranged", path=str(tmp_path / "ranged"))
+    stored = spark.table("ranged").groupBy(F.input_file_name().alias("f"))
+    ends = sorted(tuple(r) for r in stored.agg(F.min("lnId"), F.max("lnId")).drop("f").collect())
+    assert len(ends) > 1 and all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
+    spark.sql("DROP TABLE ranged")
+
+
+def test_numbers_look_like_numbers(spark):
+    from loantape.functions.scalars import parse
+
+    texts = ["1", " -2.50 ", "1e3", ".5", "7.", "1d", "2.5f", "3F", "4D", "NaN", "Infinity", "-inf", "0x1p3", "1e99", "", "-", "."]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(parse(F.col("t"), "float")).collect()]
+    assert got == [1.0, -2.5, 1000.0, 0.5, 7.0] + [None] * 12
 
 
 def test_harp_in_the_directory_counts(spark, tmp_path):

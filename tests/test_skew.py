@@ -66,9 +66,8 @@ def test_empty_map(spark):
 def test_sort_with_many_copies(spark):
     rows = [(i % 3, 0 if i % 2 else i) for i in range(300)]
     df = spark.createDataFrame(rows, "a int, b int").repartition(4)
-    out = [tuple(r) for r in skew.sort_rows(df, ["a"], limit=10).collect()]
-    assert [a for a, _ in out] == sorted(a for a, _ in rows)
-    assert Counter(out) == Counter(rows)
+    for copies in (False, True):
+        assert [tuple(r) for r in skew.sort_rows(df, ["a"], copies).collect()] == sorted(rows)
 
 
 def test_qa_profile_against_brute_force(spark):
@@ -109,29 +108,33 @@ def monthly_rows(spark, n=240):
     return spark.createDataFrame(rows, ", ".join(f"`{f.name}` {f.data_type.simpleString()}" for f in specs))
 
 
-def joined_pieces(loans):
-    """One entry per loan whatever the cutting: all months in order, and the other columns."""
+def joined_pieces(loans, rest=None):
+    """Per loan its columns and all its months in order, those in further pieces too."""
     whole = {}
-    for r in sorted(loans.collect(), key=lambda r: (r.file, r.lnId, r.part)):
+    for r in loans.collect():
         d = r.asDict(recursive=True)
-        part, months = d.pop("part"), d.pop("monthly")
-        months = [tuple(m.values()) for m in months]
-        if part == 0:
-            whole[r.lnId] = [d, months]
-        else:
-            assert d == whole[r.lnId][0]
-            whole[r.lnId][1] += months
+        assert r.lnId not in whole
+        whole[r.lnId] = [d, [tuple(m.values()) for m in d.pop("monthly")]]
+    for r in sorted(rest.collect(), key=lambda r: r.part) if rest else []:
+        whole[r.lnId][1] += [tuple(m.asDict().values()) for m in r.monthly]
+    assert all(d["nMonths"] == len(months) for d, months in whole.values())
     return whole
 
 
 def test_rollup_is_the_same_cut_or_whole(spark):
-    rows = monthly_rows(spark)
-    whole = joined_pieces(L.loan_rollup(rows, tie=["payHist"], max_rows=None))
+    # Besides the blank id, one loan without any.
+    lnid = F.when(F.col("lnId") == "100000000003", F.lit(None)).otherwise(F.col("lnId"))
+    rows = monthly_rows(spark).withColumn("lnId", lnid)
+    whole = joined_pieces(L.loan_rollup(rows, tie=["payHist"], piece=None))
     # 16 months per named loan at most, 80 rows of the blank id.
-    for limit in (1, 30):
-        cut = joined_pieces(L.loan_rollup(rows, tie=["payHist"], max_rows=limit))
-        assert cut == whole
-    assert len(whole[""][1]) == 80
+    for piece in (1, 7, 30, 4096):
+        loans = L.loan_rollup(rows, tie=["payHist"], piece=piece)
+        rest = L.loan_timelines(rows, tie=["payHist"], piece=piece, first=1)
+        assert joined_pieces(loans, rest) == whole
+        all_ = L.loan_timelines(rows, tie=["payHist"], piece=piece).collect()
+        assert sum(len(r.monthly) for r in all_) == 240
+        assert {r.part for r in all_ if r.lnId == ""} == set(range(-(-80 // piece)))
+    assert len(whole[""][1]) == 80 and None in whole
     names = {q["field"]: q["cntFail"] for q in whole[""][0]["qa"]}
     assert sum(len(m) for _, m in whole.values()) == 240 and names["fico"] == 40
 
@@ -141,7 +144,7 @@ def test_result_does_not_depend_on_partitioning(spark):
     seen = []
     for parts, shuffles in ((1, 1), (16, 64)):
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffles))
-        seen.append(joined_pieces(L.loan_rollup(rows.repartition(parts), max_rows=None)))
+        seen.append(joined_pieces(L.loan_rollup(rows.repartition(parts), piece=None)))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert seen[0] == seen[1]
 
@@ -161,7 +164,7 @@ def test_invariants(spark):
 def test_one_shuffle_before_the_links(spark, tmp_path):
     path = str(tmp_path / "m")
     monthly_rows(spark).write.parquet(path)
-    loans = L.loan_rollup(spark.read.parquet(path), tie=["payHist"], max_rows=None)
+    loans = L.loan_rollup(spark.read.parquet(path), tie=["payHist"], piece=None)
     plan = loans._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
     assert "Python" not in plan and "Window" not in plan
