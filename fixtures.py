@@ -13,9 +13,10 @@ _FIELDS = """
  case when l.l_suppkey % 7 = 0 then '' else concat('Seller ',cast(l.l_suppkey as string)) end as seller,
  c.c_mktsegment as servicer,
  cast(round(l.l_discount*100) as string) as rate,
- cast(cast(round(l.l_tax*250) as int) as string) as curRate,
+ concat(cast(cast(round(l.l_tax*250) as int) as string),'.25') as curRate,
  cast(cast(floor(o.o_totalprice) as int) as string) as opb,
- cast(cast(floor(l.l_extendedprice) as int) as string) as upb,
+ concat(cast(cast(floor(l.l_extendedprice) as int) as string),'.',
+  lpad(cast(cast(round(l.l_extendedprice*100) as bigint) % 100 as string),2,'0')) as upb,
  concat(lpad(cast(month(o.o_orderdate) as string),2,'0'),cast(year(o.o_orderdate) as string)) as fpDt,
  case when l.l_linenumber = 5 then '' else cast(p.p_size * 2 as string) end as ltv,
  case when l.l_linenumber % 2 = 0 then '' else cast(280 + l.l_partkey % 600 as string) end as coFico,
@@ -69,7 +70,7 @@ _MORE = """
  case l.l_linenumber when 1 then '' when 2 then '01' when 3 then '09' when 4 then '00' else '97' end as zb,
  case when l.l_linenumber > 4 then concat('0',cast(l.l_linenumber as string),'2005') else '' end as zbDt,
  case when l.l_linenumber > 3 then cast(cast(floor(l.l_extendedprice) as int) as string) else '' end as zbUpb,
- case l.l_linenumber % 3 when 0 then '' when 1 then 'n/a' else cast(cast(floor(l.l_extendedprice) as int) - 20000 as string) end as totPrin,
+ case l.l_linenumber % 3 when 0 then '' when 1 then case l.l_partkey % 5 when 0 then '1d' when 1 then 'NaN' when 2 then '2.5f' when 3 then '1e3' else 'n/a' end else cast(cast(floor(l.l_extendedprice) as int) - 20000 as string) end as totPrin,
  case when l.l_linenumber = 6 then '072004' when l.l_linenumber = 2 then '132004' else '' end as lpDt,
  case when l.l_linenumber = 4 then '031998' else '' end as fclDt,
  case when l.l_linenumber = 3 then '112006' else '' end as dispDt,

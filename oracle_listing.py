@@ -1,4 +1,7 @@
-"""Expected listing of the loan table: name, type, description of each column, in order."""
+"""Expected listing of the loan table: name, type, description of each column, in order.
+
+Fixed values: the descriptions are part of the data model.
+"""
 
 LISTING = [
     ("lnId", "string", "Loan ID, missing=error"),

@@ -314,9 +314,7 @@ def qa_text(names) -> str:
 
 
 DEFAULTED = ["seller", "mi", "zb", "altRes", "coFico", "cltv", "miType", "zbDt"]
-FOLDERS = "values ('1999Q1.csv'), ('2000Q1_HARP.csv'), ('exclusions.csv')"
 COPIES = "select file, lnId, count(*) as n from monthly group by file, lnId"
-LIST = f"(order by {ORD})"
 
 
 def arr(column) -> str:
@@ -549,6 +547,8 @@ select event_type, part, kind, count(*) as n from ranked group by event_type, pa
     "string_agg(cast(cntFail as varchar), ';' order by field) as cntFail from counts "
     "group by file, lnId",
     "loan_rollup": rollup(),
+    "loan_rollup_default": "select file, lnId, nMonths, monthly_month, harpLnId, qa, "
+    f"{', '.join([*MEANS, *MAXIMA])} from ({rollup()})",
     "loan_rollup_parts": rollup(3),
     "loan_rollup_blank": blanked(rollup(lines=False)),
     "loan_rollup_blank_parts": blanked(rollup(lines=False)),

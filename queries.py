@@ -129,7 +129,10 @@ def scan_loans(spark, sf):
 @query
 def discover_files(spark, sf):
     configure(spark)
-    found = tape.discover_files(spark, f"{write_tape(spark, sf)}/*")
+    base = write_tape(spark, sf)
+    # Files that are no tapes lie beside them.
+    spark.read.parquet(f"{sf}/region.parquet").select("r_name").write.text(f"{base}/notes")
+    found = tape.discover_files(spark, f"{base}/*")
     return found.select(folder(F.col("file")).alias("folder")).distinct()
 
 
@@ -739,6 +742,13 @@ def loan_rollup(spark, sf):
     return flat_loans(_rollup(spark, sf))
 
 
+@query
+def loan_rollup_default(spark, sf):
+    """With rows of one month in the order of their hashes: what does not depend on that order."""
+    loans = flat_loans(L.loan_rollup(monthly(spark, sf), fixtures.id_map(spark, sf)))
+    return loans.select("file", "lnId", "nMonths", "monthly_month", "harpLnId", "qa", *L.MEANS, *L.MAXIMA)
+
+
 @query
 def loan_rollup_parts(spark, sf):
     """As ``loan_rollup``, by the plan for loans too long for one row: first pieces of three months."""

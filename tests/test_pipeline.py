@@ -213,7 +213,9 @@ def test_two_runs_into_one_table(spark, tmp_path):
 
 def test_written_files_hold_ranges_of_the_key(spark, tmp_path):
     rows = spark.range(4000).select(F.lpad(F.hash("id").cast("string"), 12, "0").alias("lnId"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     write_loans(rows.repartition(5), "ranged", path=str(tmp_path / "ranged"))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     stored = spark.table("ranged").groupBy(F.input_file_name().alias("f"))
     ends = sorted(tuple(r) for r in stored.agg(F.min("lnId"), F.max("lnId")).drop("f").collect())
     assert len(ends) > 1 and all(a[1] < b[0] for a, b in zip(ends, ends[1:]))

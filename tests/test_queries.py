@@ -13,7 +13,8 @@ SOME = [
     "scan_loans", "detect_layout", "describe_loans", "append_runs", "valid_dates", "qa_fields",
     "recode_msa", "derived_valid", "qa_profile", "timeline", "timeline_copies", "first_non_missing",
     "avg_non_missing", "max_given", "loan_rollup", "loan_rollup_parts", "loan_rollup_strict",
-    "link_many", "sort_copies", "extra_specs",
+    "loan_rollup_blank", "loan_rollup_blank_parts", "loan_timelines", "sort_loan_month",
+    "link_many", "sort_copies", "extra_specs", "join_qa", "cast_fields",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not here")
