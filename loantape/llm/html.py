@@ -50,7 +50,7 @@ CHROME_ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split()
 )
 CHROME_NAMES = re.compile(
-    r"""(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|alert|banner\w*|breadcrumb\w*|byline-share|comment\w*|consent|cookie\w*
+    r"""(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|alert|banner\w*|breadcrumb\w*|comment\w*|consent|cookie\w*
     |copyright|disclaimer|disqus\w*|foot|footer\w*|gdpr|header|login|masthead|menu\w*|modal|nav|navbar|navigation
     |newsletter|notice\w*|notification\w*|overlay|pagination|pager|popup|promo\w*|related|replies|reply|respond
     |share\w*|sharing|sidebar\w*|signup|skip-link|social\w*|sponsor\w*|subscribe|toolbar|widget\w*)(?=$|[\s_-]|\d)""",
@@ -123,8 +123,11 @@ class _Reader(HTMLParser):
             hidden = hidden or bool(re.search(r"display\s*:\s*none", known["style"] or ""))
         inside = tag in ("article", "main") or (tag in BLOCKS and bool(ARTICLE_NAMES.search(named)))
         if tag not in ("html", "body", "article", "main"):
-            # The header of an article holds its title.
-            by_tag = tag in CHROME and not (tag == "header" and article)
+            by_tag = tag in CHROME
+            if article or inside:
+                # The header of an article holds its title.
+                by_tag = by_tag and tag != "header"
+                named = named.replace("header", "")
             chrome = chrome or by_tag or bool(roles & CHROME_ROLES) or bool(CHROME_NAMES.search(named))
         article = article or inside
         if tag == "a":
