@@ -142,7 +142,7 @@ def score(texts: list[str | None], langs: list[str], logp: np.ndarray) -> tuple[
                 rows.append(row)
                 parts.append(ids)
                 held += len(ids)
-                if held * len(langs) > 4 * SLICE:
+                if held * len(langs) > SLICE:
                     flush()
     flush()
     best = totals.argmax(1)
@@ -173,7 +173,8 @@ def identify(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
             pred, sure = score(texts.to_pylist(), langs, logp.value)
             return pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(sure)], ["lang_pred", "score"])
 
-        answer = best(F.col(f"`{text_col}`"))
+        # Else a filter on the answer is pushed below it and every text is scored twice.
+        answer = best.asNondeterministic()(F.col(f"`{text_col}`"))
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), answer.alias("made"))
     return held.select(*[F.col(f"row.`{c}`") for c in kept], "made.lang_pred", "made.score")
