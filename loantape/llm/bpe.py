@@ -28,9 +28,10 @@ from pyspark.sql import functions as F
 
 from loantape.llm.store import prepare
 
-MAX_STATES = 1 << 18
-MAX_PAIRS = 1 << 19
-MAX_PIECES = 3 << 17
+# Bounds of what a worker keeps, some 130 MB in all.
+MAX_STATES = 3 << 15
+MAX_PAIRS = 1 << 16
+MAX_PIECES = 3 << 16
 LONG_PIECE = 256
 CHUNK = 1 << 14
 LONG_TEXT = 1 << 20
@@ -49,40 +50,40 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.ranks = ranks
         self.pattern = regex.compile(pattern)
-        self.longest = max(map(len, ranks))
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.digits = {rank: str(rank) for rank in ranks.values()}
-        # All beginnings of tokens: a position stays open as long as what follows it is one.
+        # All beginnings of longer tokens: a position stays open as long as what follows it is one.
         self.starts = {t[:n] for t in ranks for n in range(1, len(t))}
         self.pairs: dict[tuple[bytes, bytes], bool] = {}
+        self.spines: dict[tuple[bytes, bool], tuple[tuple[bytes, int], ...]] = {}
         # Pieces met lately, and those met before them.
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
         self.reset()
 
     def reset(self) -> None:
-        # Number -> token before the tail, tail, and for each position of the tail where the token
-        # that ends there begins.
-        self.states: list[tuple[bytes, bytes, tuple[int, ...]]] = []
+        # Number -> token before the tail, tail, for each position of the tail where the token that
+        # ends there begins, and the open positions.
+        self.states: list[tuple[bytes, bytes, tuple[int, ...], tuple[int, ...]]] = []
         self.numbers: dict[tuple[bytes, bytes], int] = {}
         self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self.start = self._number(b"", b"", (-1,))
+        self.start = self._number(b"", b"", (-1,), (0,))
 
-    def _number(self, before: bytes, tail: bytes, back: tuple[int, ...]) -> int:
+    def _number(self, before: bytes, tail: bytes, back: tuple[int, ...], open_: tuple[int, ...]) -> int:
         key = (before, tail)
         known = self.numbers.get(key)
         if known is None:
             known = self.numbers[key] = len(self.states)
-            self.states.append((before, tail, back))
+            self.states.append((before, tail, back, open_))
         return known
 
-    def merge(self, text: bytes) -> list[bytes]:
-        """Merges of lowest rank first, by definition; used on two tokens at a time."""
+    def merge(self, text: bytes, stop: int = 1) -> list[bytes]:
+        """Merges of lowest rank first, by definition, until ``stop`` parts are left."""
         rank = self.ranks.get
         none = len(self.ranks)
         parts = [text[i : i + 1] for i in range(len(text))]
         ranked = [rank(text[i : i + 2], none) for i in range(len(text) - 1)]
-        while ranked and (lowest := min(ranked)) < none:
+        while len(parts) > stop and (lowest := min(ranked)) < none:
             at = ranked.index(lowest)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
             del ranked[at]
@@ -92,51 +93,90 @@ class Encoder:
                 ranked[at] = rank(parts[at] + parts[at + 1], none)
         return parts
 
+    def spine(self, token: bytes, right: bool) -> tuple[tuple[bytes, int], ...]:
+        """What stands at one end of a token while it is merged, latest first: each part with the
+        rank of the merge that takes it in."""
+        known = self.spines.get((token, right))
+        if known is None:
+            parts, taken, part = [], len(self.ranks), token
+            while True:
+                parts.append((part, taken))
+                if len(part) == 1:
+                    break
+                halves = self.merge(part, 2)
+                if len(halves) != 2 or b"".join(halves) not in self.ranks:
+                    raise ValueError(f"no merges make the token {part!r}")
+                taken, part = self.ranks[part], halves[1 if right else 0]
+            known = self.spines[(token, right)] = tuple(parts)
+        return known
+
     def follows(self, left: bytes, right: bytes) -> bool:
-        """Whether the merges keep ``left`` (empty at the start) and ``right`` apart and each whole."""
+        """Whether the merges keep ``left`` (empty at the start) and ``right`` apart and each whole.
+
+        They do unless some part at the end of the one and some part at the beginning of the other
+        merge before either is taken into a larger part of its own. A part is always made before it
+        is merged, as ranks follow the order of training; of equal ranks the left one goes first.
+        """
+        if not left:
+            return True
         known = self.pairs.get((left, right))
         if known is None:
+            rank, none = self.ranks.get, len(self.ranks)
+            known = True
+            ends = self.spine(right, False)
+            for x, x_taken in self.spine(left, True):
+                for y, y_taken in ends:
+                    across = rank(x + y, none)
+                    if across < x_taken and across <= y_taken and across < none:
+                        known = False
             if len(self.pairs) >= MAX_PAIRS:
                 self.pairs.clear()
-            known = self.merge(left + right) == ([left, right] if left else [right])
             self.pairs[(left, right)] = known
         return known
 
     def step(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """Next state and emitted ids when this byte is read in this state."""
-        before, tail, back = self.states[number]
+        before, tail, back, open_ = self.states[number]
         ranks, starts = self.ranks, self.starts
         tail += bytes((byte,))
         end = len(tail)
         # The prefix ends in the one token that may follow the token before it.
-        for at in range(max(0, end - self.longest), end):
-            if back[at] != DEAD and tail[at:] in ranks:
-                if self.follows(tail[back[at] : at] if at else before, tail[at:]):
-                    break
-        else:
+        last, still = -1, []
+        for at in open_:
+            token = tail[at:]
+            if last < 0 and token in ranks:
+                if self.follows(tail[back[at] : at] if at else before, token):
+                    last = at
+            if token in starts:
+                still.append(at)
+        if last < 0:
             raise ValueError("the vocabulary lacks a byte")
-        back = (*back, at)
-        path = {end}
-        while at >= 0:
-            path.add(at)
-            at = back[at]
+        back = (*back, last)
         # Where the paths back from all open positions meet, the tokens before are decided.
         base = end
-        for at in range(max(0, end - self.longest), end):
-            if back[at] != DEAD and tail[at:] in starts:
+        if still:
+            path = {end}
+            at = last
+            while at >= 0:
+                path.add(at)
+                at = back[at]
+            for at in still:
                 while at not in path:
                     at = back[at]
-                base = min(base, at)
+                if at < base:
+                    base = at
         ids: list[int] = []
         at = base
         while at > 0:
             ids.append(ranks[tail[back[at] : at]])
             at = back[at]
+        still.append(end)
         if base:
             before = tail[back[base] : base]
-            back = (-1, *(b - base if b >= base else DEAD for b in back[base + 1 :]))
+            back = (-1, *[b - base if b >= base else DEAD for b in back[base + 1 :]])
             tail = tail[base:]
-        return self._number(before, tail, back), tuple(ids[::-1])
+            still = [at - base for at in still]
+        return self._number(before, tail, back, tuple(still)), tuple(ids[::-1])
 
     def run(self, piece: bytes) -> tuple[int, ...]:
         if len(self.states) > MAX_STATES:
@@ -149,7 +189,7 @@ class Encoder:
             state = move[0]
             if move[1]:
                 ids.extend(move[1])
-        _, tail, back = self.states[state]
+        _, tail, back, _ = self.states[state]
         at, rest = len(tail), []
         while at > 0:
             rest.append(self.ranks[tail[back[at] : at]])
