@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Hand memory that was freed back to the system, where the C library can: Python workers live on
+    into later stages."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def drop(df: DataFrame) -> None:
     """Delete a table made by ``stored`` that no later step reads."""
     spark = df.sparkSession

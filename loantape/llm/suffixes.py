@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loantape.llm.store import prepare
+from loantape.llm.store import give_back, prepare
 
 WIDTH = 50
 GRAM = 20
@@ -319,6 +319,7 @@ def remove_repeats(
                             of[run] += (number, s)
                         else:
                             of[run] = [number, s]
+            del wanted, texts
             for bucket, of in runs.items():
                 lists = list(of.values())
                 low = [ids[o[0]] for o in lists]
@@ -335,7 +336,11 @@ def remove_repeats(
                     b"".join(r[1] for r in of),
                     np.array([x for o in lists for x in o], np.uint32).tobytes(),
                 ))
-        return pa.table([pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * len(run_types), run_types)], run_columns)
+            runs.clear()
+        made = pa.table([pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * len(run_types), run_types)], run_columns)
+        del out
+        give_back()
+        return made
 
     def decide(table: pa.Table) -> pa.Table:
         """Per block what goes of its documents, after sorting the suffixes of all runs here."""
@@ -405,6 +410,8 @@ def remove_repeats(
             found = np.concatenate(spans)
             if len(found):
                 out.append((part["block"], found.astype(np.uint32).tobytes()))
+        del of_run, offset, least, lead, group, order, data
+        give_back()
         return pa.table([pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 2, (pa.int64(), pa.binary()))], ["block", "spans"])
 
     made = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
