@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 
 from loantape.llm.store import prepare
 
-# Bounds of what a worker keeps, some 130 MB in all.
-MAX_STATES = 3 << 15
-MAX_PAIRS = 1 << 16
-MAX_PIECES = 3 << 16
+# Bounds of what a worker keeps, some 400 MB in all.
+MAX_STATES = 1 << 18
+MAX_PAIRS = 1 << 19
+MAX_PIECES = 3 << 17
 LONG_PIECE = 256
 CHUNK = 1 << 14
 LONG_TEXT = 1 << 20
