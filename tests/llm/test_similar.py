@@ -1,0 +1,58 @@
+"""All pairs of documents alike in 0.8 of their shingles, against a comparison of every pair."""
+
+import random
+
+import brute
+
+from loantape.llm import simhash
+
+
+def words_of(r, n):
+    return [f"w{r.randrange(10**9)}" for _ in range(n)]
+
+
+def found(spark, texts):
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    return {x.doc_id: x.component_id for x in simhash.similar_documents(table).collect()}
+
+
+def wanted(texts):
+    sets = [set(simhash.shingles(t, 5)) for t in texts]
+    links = [
+        (a, b) for b in range(len(sets)) for a in range(b)
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    ]
+    return {n: t for n, t in brute.roots(range(len(sets)), links).items() if n != t}
+
+
+def edited(r, words, n):
+    at = set(r.sample(range(0, len(words), 6), n))
+    return [f"e{r.randrange(10**9)}" if i in at else w for i, w in enumerate(words)]
+
+
+def test_group_of_copies_alike_to_one_only(spark, monkeypatch):
+    r = random.Random(11)
+    base = words_of(r, 600)
+    copies = [edited(r, base, 8) for _ in range(60)]
+    # A chain whose ends are unlike stands in the same groups as the copies.
+    chain = [edited(r, copies[7], 9)]
+    for _ in range(5):
+        chain.append(edited(r, chain[-1], 9))
+    texts = [" ".join(x) for x in [*copies[:30], base, *copies[30:], *chain]]
+    want = wanted(texts)
+    assert len(want) > 60
+    assert found(spark, texts) == want
+    # Every hub at once, and none.
+    monkeypatch.setattr(simhash, "PAIRS_PER_ROW", 0)
+    assert found(spark, texts) == want
+    monkeypatch.setattr(simhash, "MAX_HUBS", 0)
+    assert found(spark, texts) == want
+
+
+def test_repeated_ids_are_one_document(spark):
+    r = random.Random(15)
+    texts = [" ".join(words_of(r, 100)) for _ in range(3)]
+    rows = [(1, texts[0]), (1, texts[1]), (1, texts[1]), (2, texts[0]), (3, texts[1]), (4, texts[2]), (5, texts[2] + " end"), (None, texts[2])]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {x.doc_id: x.component_id for x in simhash.similar_documents(table).collect()}
+    assert got in ({2: 1, 5: 4}, {3: 1, 5: 4})
