@@ -49,6 +49,17 @@ def test_group_of_copies_alike_to_one_only(spark, monkeypatch):
     assert found(spark, texts) == want
 
 
+def test_pairs_just_above_the_bound(spark):
+    r = random.Random(12)
+    texts = []
+    for i in range(150):
+        base = words_of(r, 300)
+        texts += [" ".join(base), " ".join(edited(r, base, 5 + i % 3))]
+    want = wanted(texts)
+    assert 60 < len(want) < 150
+    assert found(spark, texts) == want
+
+
 def test_repeated_ids_are_one_document(spark):
     r = random.Random(15)
     texts = [" ".join(words_of(r, 100)) for _ in range(3)]
