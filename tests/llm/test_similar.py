@@ -60,6 +60,12 @@ def test_pairs_just_above_the_bound(spark):
     assert found(spark, texts) == want
 
 
+def test_unlike_texts_with_one_frequent_word(spark):
+    r = random.Random(13)
+    texts = [" ".join([*words_of(r, 500), *["same"] * 700]) for _ in range(3)]
+    assert found(spark, texts) == wanted(texts) == {}
+
+
 def test_repeated_ids_are_one_document(spark):
     r = random.Random(15)
     texts = [" ".join(words_of(r, 100)) for _ in range(3)]
