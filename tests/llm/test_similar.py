@@ -66,6 +66,12 @@ def test_unlike_texts_with_one_frequent_word(spark):
     assert found(spark, texts) == wanted(texts) == {}
 
 
+def test_repeats_do_not_count(spark):
+    base = words_of(random.Random(14), 400)
+    texts = [" ".join(base), " ".join([*base, *["same"] * 500])]
+    assert found(spark, texts) == wanted(texts) == {1: 0}
+
+
 def test_repeated_ids_are_one_document(spark):
     r = random.Random(15)
     texts = [" ".join(words_of(r, 100)) for _ in range(3)]
