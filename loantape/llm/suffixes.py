@@ -9,15 +9,19 @@ sorted. Suffixes are sorted where equal ones are sure to meet:
   neighbouring strings mostly share theirs, so a text has some sixteenth as many anchors as bytes.
 - Blocks of documents send the hashes of their anchors, four bytes each, to buckets, which answer
   which of them occur in two documents or more. Only for those, a block sends the run of bytes whose
-  strings share the anchor, once for all its occurrences in the block, with the smallest id.
+  strings share the anchor, once for all its occurrences in the block, with the smallest id. What
+  the block's later ids lose by that is settled in the block and passes the buckets by.
+- An anchor in ``HOT`` documents or more can have as many different runs. Its runs are sent as single
+  strings, each to the bucket of its own hash, where equal ones meet again.
 - A bucket sorts the suffixes of the different runs of an anchor, by mergesort. Two suffixes are
   compared through prefix polynomial hashes: binary search finds how far they agree, and the next
   byte decides. The order is then verified byte by byte, and the sort repeated with another base
   should a collision have spoilt it. Neighbours that agree in ``width`` bytes share the smallest id.
 
 Nothing is dropped or capped: an anchor that very many documents have is one entry per block, and
-equal runs are one per block. A block and a bucket hold a bounded number of bytes and anchors
-however much there is, but for single documents that are longer.
+equal runs, or equal strings of a hot anchor, are one per block. A bucket holds of one anchor the
+runs of ``HOT`` documents at most, or of one string an entry per block, and a block a bounded number
+of bytes, but for single documents that are longer. Rows without an id go through no block.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +41,8 @@ from loantape.llm.store import give_back, prepare
 WIDTH = 50
 GRAM = 20
 BLOCK_BYTES = 4 << 20
+# Documents from which an anchor's strings are dealt by themselves.
+HOT = 1 << 14
 SLICE = (1 << 20) - 128
 _PLACE = np.uint64((1 << 20) - 1)
 _BITS = np.uint64(20)
@@ -243,15 +250,18 @@ def remove_repeats(
     blocks = int(max(1, -(-total // block_bytes)))
     buckets = blocks
     others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    rows = docs.select(
+    every = docs.select(
         F.struct(*others).alias("row"),
         F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
         F.col(f"`{text_col}`").cast("string").alias("text"),
         F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(blocks)).alias("block"),
     )
+    rows = every.where("doc_id is not null")
+    hot_from = HOT
 
     def offer(key: tuple, table: pa.Table) -> pa.Table:
-        """A block's anchors by bucket: a hash once, or twice if two of its documents have it."""
+        """A block's anchors by bucket: a hash once, or twice if two of its documents have it, with
+        the number of its documents if there are more."""
         block = key[0].as_py()
         _, ids, texts = _texts(table)
         found: list[np.ndarray] = []
@@ -263,42 +273,49 @@ def remove_repeats(
             last = doc_id
             own.extend(k for k, _, _, _ in anchors(text, width))
         if not found:
-            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.binary())], ["bucket", "block", "keys"])
+            found.append(np.zeros(0, np.uint64))
         keys, counts = np.unique(np.concatenate(found), return_counts=True)
-        keys = np.repeat(keys, np.minimum(counts, 2))
-        parts = [(b, (keys[p] & _LOW).astype(np.uint32).tobytes()) for b, p in _split(keys, buckets)]
-        return pa.table(
-            [pa.array([b for b, _ in parts], pa.int64()), pa.array([block] * len(parts), pa.int64()), pa.array([k for _, k in parts], pa.binary())],
-            ["bucket", "block", "keys"],
-        )
+        parts = []
+        for b, p in _split(keys, buckets):
+            low, n = (keys[p] & _LOW).astype(np.uint32), counts[p]
+            more = np.c_[low[n > 2], n[n > 2]].astype(np.uint32)
+            parts.append((b, block, np.repeat(low, np.minimum(n, 2)).tobytes(), more.tobytes()))
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        return pa.table([pa.array(c, t) for c, t in zip(list(zip(*parts)) or [[]] * 4, kinds)], ["bucket", "block", "keys", "more"])
 
     def answer(key: tuple, table: pa.Table) -> pa.Table:
-        """Which of each block's anchors occur in two documents or more anywhere."""
+        """Which of each block's anchors occur in two documents or more anywhere, and which are hot."""
         bucket = key[0].as_py()
         held = [_unpack(k, np.uint32) for k in table["keys"].to_pylist()]
         keys, counts = np.unique(np.concatenate(held), return_counts=True)
         shared = keys[counts > 1]
+        more = np.concatenate([_unpack(m, np.uint32) for m in table["more"].to_pylist()]).reshape(-1, 2)
+        np.add.at(counts, np.searchsorted(keys, more[:, 0]), more[:, 1].astype(np.int64) - 2)
+        hot = keys[counts >= hot_from]
         out = []
         for block, own in zip(table["block"].to_pylist(), held):
             own = np.unique(own)
             own = own[np.isin(own, shared, assume_unique=True)]
             if len(own):
-                out.append((block, bucket, own.tobytes()))
-        return pa.table([pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 3, (pa.int64(), pa.int64(), pa.binary()))], ["block", "bucket", "keys"])
+                out.append((block, bucket, own.tobytes(), own[np.isin(own, hot, assume_unique=True)].tobytes()))
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        return pa.table([pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 4, kinds)], ["block", "bucket", "keys", "hot"])
 
-    run_columns = ["bucket", "block", "keys", "sizes", "offsets", "lowest", "counts", "firsts", "bytes", "places"]
+    run_columns = ["bucket", "block", "keys", "sizes", "offsets", "lowest", "counts", "bytes", "places", "settled"]
     run_types = [pa.int64(), pa.int64(), *[pa.binary()] * 8]
 
     def show(table: pa.Table, shared: pa.Table) -> pa.Table:
-        """The runs of the block's shared anchors, by bucket, with where they occur."""
+        """The runs of the block's shared anchors, by bucket, with where they occur in the smallest
+        id that has them; and what its later ids lose, in a row that any bucket hands on."""
         out = []
         if shared.num_rows and table.num_rows:
             block = table["block"][0].as_py()
-            wanted = np.sort(
-                np.concatenate([
+            wanted, hot = (
+                np.sort(np.concatenate([
                     _unpack(k, np.uint32).astype(np.uint64) | np.uint64(b) << _HALF
-                    for b, k in zip(shared["bucket"].to_pylist(), shared["keys"].to_pylist())
-                ])
+                    for b, k in zip(shared["bucket"].to_pylist(), shared[name].to_pylist())
+                ]))
+                for name in ("keys", "hot")
             )
             _, ids, texts = _texts(table)
             # Per bucket and run: occurrences as document number and place, in order of the ids.
@@ -310,6 +327,14 @@ def remove_repeats(
                     full = small | at.astype(np.uint64) << _HALF
                     hit = np.searchsorted(wanted, full)
                     chosen = np.flatnonzero(wanted[np.minimum(hit, len(wanted) - 1)] == full)
+                    if len(hot):
+                        many = np.isin(full[chosen], hot)
+                        for s, e, p in zip(first[chosen[many]].tolist(), last[chosen[many]].tolist(), place[chosen[many]].tolist()):
+                            for i in range(s, e + 1):
+                                string = text[i : i + width]
+                                mixed = xxhash.xxh64_intdigest(string)
+                                runs[(mixed >> 32) % buckets].setdefault((mixed & 0xFFFFFFFF, string, p - i), []).extend((number, i))
+                        chosen = chosen[~many]
                     for b, k, s, e, p in zip(
                         at[chosen].tolist(), small[chosen].tolist(), first[chosen].tolist(), last[chosen].tolist(), place[chosen].tolist()
                     ):
@@ -320,11 +345,19 @@ def remove_repeats(
                         else:
                             of[run] = [number, s]
             del wanted, texts
+            settled = []
             for bucket, of in runs.items():
-                lists = list(of.values())
-                low = [ids[o[0]] for o in lists]
-                # Occurrences in the smallest id stand first.
-                firsts = [sum(1 for n in o[::2] if ids[n] == d) for o, d in zip(lists, low)]
+                lists = []
+                low = [ids[o[0]] for o in of.values()]
+                # Occurrences in the smallest id stand first; later ids lose the whole run to it.
+                for run, o, d in zip(of, of.values(), low):
+                    n = 2
+                    while n < len(o) and ids[o[n]] == d:
+                        n += 2
+                    lists.append(o[:n])
+                    size = len(run[1])
+                    for i in range(n, len(o), 2):
+                        settled += (o[i], o[i + 1], o[i + 1] + size)
                 out.append((
                     bucket, block,
                     np.array([r[0] for r in of], np.uint32).tobytes(),
@@ -332,11 +365,14 @@ def remove_repeats(
                     np.array([r[2] for r in of], np.uint8).tobytes(),
                     np.array(low, np.int64).tobytes(),
                     np.array([len(o) // 2 for o in lists], np.uint32).tobytes(),
-                    np.array(firsts, np.uint32).tobytes(),
                     b"".join(r[1] for r in of),
                     np.array([x for o in lists for x in o], np.uint32).tobytes(),
+                    b"",
                 ))
+            if settled:
+                out.append((block % buckets, block, *[b""] * 7, np.array(settled, np.uint32).tobytes()))
             runs.clear()
+            del settled
         made = pa.table([pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * len(run_types), run_types)], run_columns)
         del out
         give_back()
@@ -344,7 +380,10 @@ def remove_repeats(
 
     def decide(table: pa.Table) -> pa.Table:
         """Per block what goes of its documents, after sorting the suffixes of all runs here."""
-        parts = table.to_pylist()
+        out = [(p["block"], p["settled"]) for p in table.select(["block", "settled"]).to_pylist() if p["settled"]]
+        parts = [p for p in table.to_pylist() if p["keys"]]
+        if not parts:
+            return pa.table([pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 2, (pa.int64(), pa.binary()))], ["block", "spans"])
         keys = np.concatenate([_unpack(p["keys"], np.uint32) for p in parts])
         sizes = np.concatenate([_unpack(p["sizes"], np.uint8) for p in parts]).astype(np.int64)
         offsets = np.concatenate([_unpack(p["offsets"], np.uint8) for p in parts]).astype(np.int64)
@@ -380,19 +419,13 @@ def remove_repeats(
             classes = np.cumsum(~same) - 1
             edges = np.flatnonzero(~same)
             least[strings] = np.minimum.reduceat(least[strings], edges)[classes]
-        out = []
         row = 0
         for part in parts:
             counts = _unpack(part["counts"], np.uint32).astype(np.int64)
-            firsts = _unpack(part["firsts"], np.uint32).astype(np.int64)
             places = _unpack(part["places"], np.uint32).reshape(-1, 2).astype(np.int64)
             mine = np.arange(row, row + len(counts))
             row += len(counts)
             occurrence = np.cumsum(np.r_[0, counts[:-1]])
-            of = np.repeat(np.arange(len(counts)), counts)
-            early = np.arange(len(of)) - occurrence[of] < firsts[of]
-            # Later ids of the block lose the whole run to its smallest id.
-            spans = [np.c_[places[~early], (places[~early][:, 1] + sizes[mine][of[~early]])]]
             # The smallest id loses the strings that an earlier one elsewhere has, in maximal runs.
             run = same_as[mine]
             span = n_strings[run]
@@ -402,12 +435,11 @@ def remove_repeats(
             opens = lost & ~(np.r_[False, lost[:-1]] & (step > 0))
             closes = lost & ~(np.r_[lost[1:], False] & np.r_[step[1:] > 0, False])
             piece, start, stop = local[opens], step[opens], step[closes]
-            times = firsts[piece]
+            times = counts[piece]
             which = np.repeat(np.arange(len(piece)), times)
             nth = np.arange(len(which)) - np.cumsum(np.r_[0, times[:-1]])[which]
             hit = places[occurrence[piece][which] + nth]
-            spans.append(np.c_[hit[:, 0], hit[:, 1] + start[which], hit[:, 1] + stop[which] + width])
-            found = np.concatenate(spans)
+            found = np.c_[hit[:, 0], hit[:, 1] + start[which], hit[:, 1] + stop[which] + width]
             if len(found):
                 out.append((part["block"], found.astype(np.uint32).tobytes()))
         del of_run, offset, least, lead, group, order, data
@@ -435,21 +467,27 @@ def remove_repeats(
                 rest = b"".join(text[a:b] for a, b in zip([0, *stops], [*starts, len(text)]))
                 removed, n = len(text) - len(rest), len(starts)
             results[place] = (len(text), removed, n, hashlib.sha256(rest).hexdigest(), rest)
-        for i, text in enumerate(table["text"]):
-            if results[i] is None:
-                rest = text.as_py().encode() if text.is_valid else b""
-                results[i] = (len(rest), 0, 0, hashlib.sha256(rest).hexdigest(), rest)
+        return answered(table, results)
+
+    def answered(table: pa.Table, results: list) -> pa.Table:
         columns = list(zip(*results)) or [[]] * 5
         if kept == "text":
             columns[4] = [rest.decode("utf-8", "ignore") for rest in columns[4]]
         return pa.table([table["row"], *(pa.array(c, t) for c, (_, t) in zip(columns, made))], ["row", *(n for n, _ in made)])
 
-    offered = rows.groupBy("block").applyInArrow(offer, "bucket bigint, block bigint, keys binary")
-    shared = offered.groupBy("bucket").applyInArrow(answer, "block bigint, bucket bigint, keys binary")
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t.as_py().encode() if t.is_valid else b"" for t in batch["text"]]
+            table = answered(pa.table([batch["row"]], ["row"]), [(len(t), 0, 0, hashlib.sha256(t).hexdigest(), t) for t in texts])
+            yield from table.combine_chunks().to_batches()
+
+    offered = rows.groupBy("block").applyInArrow(offer, "bucket bigint, block bigint, keys binary, more binary")
+    shared = offered.groupBy("bucket").applyInArrow(answer, "block bigint, bucket bigint, keys binary, hot binary")
     shown = rows.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
         show, ", ".join(f"{n} {'bigint' if t == pa.int64() else 'binary'}" for n, t in zip(run_columns, run_types))
     )
     spans = shown.groupBy("bucket").applyInArrow(decide, "block bigint, spans binary")
     kinds = {pa.int64(): "bigint", pa.string(): "string", pa.binary(): "binary"}
     schema = f"row {rows.schema['row'].dataType.simpleString()}, " + ", ".join(f"{n} {kinds[t]}" for n, t in made)
-    return rows.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(cut, schema)
+    done = rows.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(cut, schema)
+    return done.unionByName(every.where("doc_id is null").select("row", "text").mapInArrow(passed, schema))
