@@ -33,6 +33,10 @@ MARGIN = 1e-6
 # Rows of a list that one task compares queries with; larger lists are cut into chunks.
 CHUNK_ROWS = 2048
 QUERY_ROWS = 512
+# Rows that ask in one task; more are cut into parts, each of which meets every chunk.
+ASK_ROWS = 8192
+# Pairs whose cosine is taken at a time.
+PAIR_ROWS = 1 << 15
 
 
 def unit(vectors: list, dims: int) -> tuple[np.ndarray, np.ndarray]:
@@ -134,24 +138,52 @@ def fit(vectors: DataFrame, sample: int = SAMPLE) -> Index | None:
     return Index(points, int(min(MAX_LISTS, max(1, most // LIST_ROWS), len(points))))
 
 
-def _forest(pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """A spanning forest of the pairs: as many links as it takes to connect what they connect."""
-    top: dict[int, int] = {}
+class Forest:
+    """Links that connect all that the pairs connect, of which there are no more than rows asked and
+    rows held: pairs are folded in as they come, and none is kept that adds nothing."""
 
-    def find(x: int) -> int:
-        while (up := top.setdefault(x, x)) != x:
-            top[x] = top[up] if up in top else up
-            x = up
-        return x
+    def __init__(self, held: np.ndarray) -> None:
+        self.held = held
+        self.root = np.arange(len(held))
+        self.links: list[tuple[int, int]] = []
 
-    kept = []
-    for a, b in pairs:
-        for x, y in zip(a.tolist(), b.tolist()):
-            rx, ry = find(x), find(y)
-            if rx != ry:
-                top[max(rx, ry)] = min(rx, ry)
-                kept.append((x, y))
-    return np.array(kept, np.int64).reshape(-1, 2)
+    def add(self, ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+        """Pairs of ``ids[a]`` and the held row ``b``, in order of ``a``."""
+        cuts = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else []
+        for start, met in zip(cuts, np.split(b, cuts[1:]) if len(a) else []):
+            roots, first = np.unique(self.root[met], return_index=True)
+            name = int(ids[a[start]])
+            self.links += [(name, int(x)) for x in self.held[met[first]]]
+            if len(roots) > 1:
+                self.root[np.isin(self.root, roots)] = roots[0]
+
+
+def _sides(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows that ask and those held, by label, list, chunk of those held, part of those asking."""
+    # A pair in two lists would be met from both sides; the side of the smaller list looks.
+    ranged = members.select("class_id", "label", "unit", "copies", F.col("list").alias("own"), F.explode("probes").alias("list")).where("list >= own")
+    held = members.groupBy("label", "list").agg(F.count(F.lit(1)).alias("n"))
+    asks = ranged.groupBy(F.col("label").alias("al"), F.col("list").alias("ano")).agg(F.count(F.lit(1)).alias("asking"))
+    sizes = held.join(asks, (F.col("label") == F.col("al")) & (F.col("list") == F.col("ano"))).select(
+        F.col("label").alias("l"), F.col("list").alias("no"),
+        F.ceil(F.col("n") / CHUNK_ROWS).cast("int").alias("chunks"), F.ceil(F.col("asking") / ASK_ROWS).cast("int").alias("parts"),
+    )
+    sizes = stored(sizes, "lists")
+    of = (F.col("label") == F.col("l")) & (F.col("list") == F.col("no"))
+    asked = ranged.join(sizes, of).select(
+        "label", "list", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
+        F.pmod(F.hash("class_id", F.lit(1)), F.col("parts")).alias("part"),
+        "class_id", "unit", "copies", F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("lost"),
+        F.col("own"),
+    )
+    # Names of their own, as both sides come from one table.
+    own = {c: F.col(c).alias(c) for c in ("label", "list", "class_id", "unit", "copies", "codes", "lost")}
+    held = members.join(sizes, of).select(
+        own["label"], own["list"], F.pmod(F.hash("class_id"), F.col("chunks")).alias("chunk"),
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        own["class_id"], own["unit"], own["copies"], own["codes"], own["lost"], F.lit(-1).cast("bigint").alias("own"),
+    )
+    return asked, held
 
 
 def near_duplicates(
@@ -209,45 +241,20 @@ def near_duplicates(
         at = shared.value
         for batch in batches:
             points = _matrix(batch.column(2), dims)
-            lists, _ = at.assign(points)
+            probes = at.probes(points, reach)
+            lists = np.array([p[0] for p in probes], np.int64)
             codes, lost = at.encode(points, lists)
-            arrays = [*batch.columns, pa.array(lists), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(lost)]
-            yield pa.record_batch(arrays, ["class_id", "label", "unit", "copies", "list", "codes", "lost"])
+            arrays = [
+                *batch.columns, pa.array(lists), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(lost),
+                pa.array(probes, pa.list_(pa.int64())),
+            ]
+            yield pa.record_batch(arrays, ["class_id", "label", "unit", "copies", "list", "codes", "lost", "probes"])
 
     members = classes.select("class_id", "label", "unit", "copies").mapInArrow(
         place,
-        "class_id bigint, label string, unit binary, copies bigint, list bigint, codes binary, lost double",
-    )
-    members = stored(members, "members")
-    sizes = members.groupBy("label", "list").agg(F.count(F.lit(1)).alias("n"))
-    sizes = stored(
-        sizes.select(
-            F.col("label").alias("l"), F.col("list").alias("no"), F.ceil(F.col("n") / CHUNK_ROWS).cast("int").alias("chunks")
-        ),
-        "lists",
+        "class_id bigint, label string, unit binary, copies bigint, list bigint, codes binary, lost double, probes array<bigint>",
     )
-
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = shared.value
-        for batch in batches:
-            found = at.probes(_matrix(batch.column(2), dims), reach)
-            yield pa.record_batch([*batch.columns, pa.array(found, pa.list_(pa.int64()))], ["class_id", "label", "unit", "copies", "probes"])
-
-    queries = members.select("class_id", "label", "unit", "copies").mapInArrow(
-        look, "class_id bigint, label string, unit binary, copies bigint, probes array<bigint>"
-    )
-    # A pair in two lists would be met from both sides; the side of the smaller list looks.
-    ranged = queries.select("class_id", "label", "unit", "copies", F.get("probes", F.lit(0)).alias("own"), F.explode("probes").alias("list"))
-    asked = ranged.where("list >= own").join(sizes, (F.col("label") == F.col("l")) & (F.col("list") == F.col("no")))
-    asked = asked.select(
-        "label", "list", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
-        "class_id", "unit", "copies", F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("lost"),
-        F.col("own"),
-    )
-    held = members.join(sizes, (F.col("label") == F.col("l")) & (F.col("list") == F.col("no"))).select(
-        "label", "list", F.pmod(F.hash("class_id"), F.col("chunks")).alias("chunk"),
-        "class_id", "unit", "copies", "codes", "lost", F.lit(-1).cast("bigint").alias("own"),
-    )
+    asked, held = _sides(stored(members, "members"))
 
     def compare(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         number = key[1].as_py()
@@ -260,7 +267,7 @@ def near_duplicates(
             lost = np.asarray(right["lost"])
             copies = np.asarray(right["copies"])
             counts: dict[int, int] = {}
-            found = []
+            forest = Forest(ids)
             for low in range(0, left.num_rows, QUERY_ROWS):
                 part = left.slice(low, QUERY_ROWS)
                 q_ids = np.asarray(part["class_id"])
@@ -275,21 +282,23 @@ def near_duplicates(
                 # Within one list both sides look; the smaller id's look counts.
                 near &= (own[:, None] != number) | (q_ids[:, None] < ids[None, :])
                 a, b = np.nonzero(near)
-                close = np.einsum("ij,ij->i", q_points[a], points[b]) >= cosine
+                close = np.zeros(len(a), bool)
+                for at_pair in range(0, len(a), PAIR_ROWS):
+                    x, y = a[at_pair : at_pair + PAIR_ROWS], b[at_pair : at_pair + PAIR_ROWS]
+                    close[at_pair : at_pair + PAIR_ROWS] = np.einsum("ij,ij->i", q_points[x], points[y]) >= cosine
                 a, b = a[close], b[close]
                 if len(a):
                     for who, n in ((q_ids[a], copies[b]), (ids[b], q_copies[a])):
                         names, where = np.unique(who, return_inverse=True)
                         for name, n_ in zip(names.tolist(), np.bincount(where, n).astype(np.int64).tolist()):
                             counts[name] = counts.get(name, 0) + n_
-                    found.append((q_ids[a], ids[b]))
-            forest = _forest(found)
-            out["class_id"] = [*counts, *forest[:, 0].tolist()]
-            out["links"] = [*counts.values(), *([0] * len(forest))]
-            out["other"] = [*([None] * len(counts)), *forest[:, 1].tolist()]
+                    forest.add(q_ids, a, b)
+            out["class_id"] = [*counts, *(x for x, _ in forest.links)]
+            out["links"] = [*counts.values(), *([0] * len(forest.links))]
+            out["other"] = [*([None] * len(counts)), *(y for _, y in forest.links)]
         return pa.table([pa.array(v, pa.int64()) for v in out.values()], list(out))
 
-    by = ["label", "list", "chunk"]
+    by = ["label", "list", "chunk", "part"]
     met = stored(
         asked.groupBy(*by).cogroup(held.groupBy(*by)).applyInArrow(compare, "class_id bigint, links bigint, other bigint"),
         "links",
