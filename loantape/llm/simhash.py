@@ -11,9 +11,10 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -53,6 +54,16 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col="doc_id", text_col="tex
     return rows.mapInArrow(run, "doc_id bigint, fp bigint")
 
 
+def fingerprint_column(text_col: str, words: int = 3) -> Column:
+    """The fingerprint of a text as 16 hex digits, as an expression."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: f"{fingerprint(t, words):016x}")
+
+    return run(F.coalesce(F.col(text_col), F.lit("")))
+
+
 def ball(radius: int, bits: int = 64) -> list[int]:
     """The masks of ``radius`` bits or fewer, as signed integers; the first is zero."""
     masks = [
@@ -111,168 +122,3 @@ def near_duplicates(
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
-
-
-# Similarities well below one are found by a prefix filter over shingles. Documents whose shingles are
-# counted for its order, and common shingles that are kept with their counts: any order is exact.
-SAMPLE_DOCS = 4096
-COMMON = 1 << 17
-# Hubs are chosen anew while more pairs than so many times the rows are left to compare.
-PAIRS_PER_ROW = 4
-MAX_HUBS = 8
-
-
-def shingles(text: str | None, words: int) -> list[bytes]:
-    tokens = text.encode().lower().split() if text else []
-    return [b" ".join(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1))] if tokens else []
-
-
-def shingle_set(text: str | None, words: int) -> np.ndarray:
-    """The sorted hashes of the different shingles."""
-    return np.unique(np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles(text, words)], np.uint64))
-
-
-def _common(rows: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """The shingles that most documents of a sample share, sorted, and how many do."""
-    total = rows.count()
-    part = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, total // SAMPLE_DOCS))) == 0)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column(1):
-                yield pa.record_batch([pa.array(shingle_set(text.as_py(), words).view(np.int64))], ["token"])
-
-    counts = part.mapInArrow(run, "token bigint").groupBy("token").count().where("count > 1")
-    found = counts.orderBy(F.col("count").desc(), "token").limit(COMMON).toArrow()
-    tokens = np.asarray(found["token"]).view(np.uint64)
-    order = np.argsort(tokens)
-    return tokens[order], np.asarray(found["count"])[order]
-
-
-def similar_documents(
-    docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``doc_id`` and ``component_id`` of every id that is linked to a smaller one, directly or not.
-
-    Two documents are linked if the Jaccard similarity of their sets of shingles is ``similarity``
-    or more; texts without words are alike. Every link counts, whatever the sizes of groups: the
-    components are those of all pairs, up to collisions of 64-bit hashes.
-
-    Documents with equal sets form one class with the smallest id before anything is compared. With
-    shingles in one order for all, rare ones first, two similar sets share one of the first
-    ``n - similarity * n + 1`` of each, at places that leave room for the rest of the overlap. So
-    classes meet on these. The members of a shingle are first compared with one hub, the one that
-    shares most; then all pairs that no link connects so far are compared.
-
-    Rows of one id count as one document, of the set that comes first; rows without id are left out.
-    """
-    spark = prepare(docs.sparkSession)
-    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where("doc_id is not null")
-    common = spark.sparkContext.broadcast(_common(rows, words))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often, counts = common.value
-        for batch in batches:
-            keys, sizes, firsts = [], [], []
-            for text in batch.column(1):
-                found = shingle_set(text.as_py(), words)
-                keys.append(xxhash.xxh3_128_digest(found.tobytes()))
-                sizes.append(len(found))
-                if len(often):
-                    at = np.minimum(np.searchsorted(often, found), len(often) - 1)
-                    weight = np.where(often[at] == found, counts[at], 0)
-                    found = found[np.argsort(weight, kind="stable")]
-                # A little less than the share, as it may not be exact in binary.
-                found = found[: len(found) - int(np.ceil(similarity * len(found) - 1e-6)) + 1]
-                firsts.append(found.view(np.int64))
-            arrays = [batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))]
-            yield pa.record_batch(arrays, ["doc_id", "key", "n", "tokens"])
-
-    prints = stored(rows.mapInArrow(run, "doc_id bigint, key binary, n int, tokens array<bigint>"), "prints")
-    chosen = stored(prints.groupBy("doc_id").agg(F.min("key").alias("key")), "documents")
-    repeated = chosen.count() < prints.count()
-    if repeated:
-        prints = prints.join(chosen, ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id"])
-    classes = chosen.groupBy(F.col("key").alias("k")).agg(F.min("doc_id").alias("first"))
-    copies = stored(
-        chosen.join(classes, F.col("key") == F.col("k")).where("doc_id != first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")),
-        "copies",
-    )
-    heads = prints.join(copies.select(F.col("b").alias("doc_id")), "doc_id", "left_anti")
-    places = heads.select("doc_id", "n", F.posexplode("tokens").alias("place", "token"))
-    often = places.groupBy("token").count().where("count > 1").select(F.col("token").alias("t"))
-    shared = stored(places.join(often, F.col("token") == F.col("t"), "left_semi"), "shared")
-    shares = shared.groupBy("doc_id").agg((F.count(F.lit(1)) / F.first("n")).alias("share"))
-    shares = stored(shares.select(F.col("doc_id").alias("id"), "share"), "members")
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [shingle_set(t.as_py(), words).tobytes() for t in batch.column(1)]
-            keys = [xxhash.xxh3_128_digest(x) for x in made]
-            yield pa.record_batch([batch.column(0), pa.array(keys, pa.binary()), pa.array(made, pa.binary())], ["doc_id", "key", "set"])
-
-    sets = rows.join(shares, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(hashed, "doc_id bigint, key binary, set binary")
-    if repeated:
-        sets = sets.join(chosen, ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id"])
-    sets = stored(sets.select("doc_id", "set"), "shingles")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            alike = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                left, right = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                alike.append(both >= similarity * (len(left) + len(right) - both))
-            kept = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"])
-            yield kept.filter(pa.array(alike))
-
-    def linked(met: DataFrame) -> DataFrame:
-        """Of the rows met, with ``a`` and ``b`` as structs like ``member``, the pairs alike."""
-        room = F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"))
-        enough = room >= similarity / (1 + similarity) * (F.col("a.n") + F.col("b.n")) - 1e-6
-        one, two = F.col("a.doc_id"), F.col("b.doc_id")
-        pairs = met.where(enough & (one != two)).select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b"))
-        pairs = stored(pairs.distinct(), "pairs")
-        one = sets.select(F.col("doc_id").alias("ia"), F.col("set").alias("sa"))
-        two = sets.select(F.col("doc_id").alias("ib"), F.col("set").alias("sb"))
-        beside = pairs.join(one, F.col("a") == F.col("ia")).join(two, F.col("b") == F.col("ib")).select("a", "b", "sa", "sb")
-        return stored(beside.mapInArrow(compare, "a bigint, b bigint"), "links")
-
-    def compared_with_hub(members: DataFrame, rank) -> DataFrame:
-        hubs = members.groupBy(F.col("token").alias("t")).agg(F.min_by("member", F.struct(rank, "member.doc_id")).alias("a"))
-        met = members.join(hubs, F.col("token") == F.col("t")).where("member.root != a.root")
-        return linked(met.select("a", F.col("member").alias("b")))
-
-    member = F.struct("doc_id", "n", "place", F.col("doc_id").alias("root")).alias("member")
-    first = shared.join(shares, F.col("doc_id") == F.col("id")).select("token", "share", member)
-    roots = components(compared_with_hub(first, -F.col("share")))
-    before = None
-    for seed in range(MAX_HUBS + 1):
-        # Shingles whose members are not all connected, and how many pairs that leaves.
-        root = F.coalesce("root", "doc_id").alias("root")
-        placed = shared.join(roots, F.col("doc_id") == F.col("node"), "left").select(
-            "token", F.struct("doc_id", "n", "place", root).alias("member")
-        )
-        counts = placed.groupBy("token", F.col("member.root").alias("root")).agg(F.count(F.lit(1)).cast("double").alias("c"))
-        apart = counts.groupBy(F.col("token").alias("t")).agg(
-            F.count(F.lit(1)).alias("roots"), F.sum("c").alias("rows"), ((F.sum("c") ** 2 - F.sum(F.col("c") ** 2)) / 2).alias("pairs")
-        )
-        apart = stored(apart.where("roots > 1"), "apart")
-        rows_left, left = apart.agg(F.sum("rows"), F.sum("pairs")).first()
-        if not left:
-            break
-        members = placed.join(apart, F.col("token") == F.col("t"), "left_semi")
-        # A hub that connects little says that most are unlike: then every pair is due.
-        last = left <= PAIRS_PER_ROW * rows_left or seed == MAX_HUBS or (before is not None and left > before / 2)
-        if last:
-            one, two = members.select("token", F.col("member").alias("a")), members.select(F.col("token").alias("t"), F.col("member").alias("b"))
-            met = one.join(two, (F.col("token") == F.col("t")) & (F.col("a.doc_id") < F.col("b.doc_id")) & (F.col("a.root") != F.col("b.root")))
-            more = linked(met.select("a", "b"))
-        else:
-            more = compared_with_hub(members, F.xxhash64("member.doc_id", F.lit(seed)))
-        roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(more))
-        before = left
-        if last:
-            break
-    known = roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(copies)
-    return components(known).select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))

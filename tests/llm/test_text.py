@@ -93,27 +93,6 @@ def test_ball_finds_every_pair_within_radius(spark):
     assert brute.roots([s[0] for s in signed], pairs) == brute.roots([s[0] for s in signed], want)
 
 
-def test_similar_documents(docs, rows, empty):
-    got = {r.doc_id: r.component_id for r in simhash.similar_documents(docs).collect()}
-
-    def shingles(text):
-        return set(simhash.shingles(text, 5))
-
-    sets = {r[0]: shingles(r[1]) for r in rows}
-    links = [
-        (a, b) for a in sets for b in sets
-        if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
-    ]
-    top = brute.roots(sets, links)
-    later = {i for i, t in top.items() if i != t}
-    # Nothing that is not alike is linked; of what is, a pair near the bound may be missed.
-    assert all(top[i] == top[t] for i, t in got.items()) and set(got) <= later
-    assert len(got) >= 0.8 * len(later) > 8
-    ids = {r[1]: r[0] for r in rows[-3:-1]}
-    assert sum(i in got for i in ids.values()) == 1
-    assert simhash.similar_documents(empty).count() == 0
-
-
 def test_suffixes(docs, rows, empty):
     for block_bytes in (1 << 22, 3000):
         done = suffixes.remove_repeats(docs, block_bytes=block_bytes)
