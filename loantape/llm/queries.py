@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loantape.llm import bpe, html, language, mixing, pq, quality, sharding, simhash, suffixes, warc
+from loantape.llm import bpe, html, language, mixing, pq, quality, sharding, simhash, suffixes, tries, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_simhash": op2_simhash,
@@ -81,6 +85,14 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op13_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+        FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+              FROM documents)
+        WINDOW same AS (PARTITION BY t)""",
+}
