@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loantape.llm import bpe, html, language, mixing, pq, quality, sharding, simhash, suffixes, tries, warc
+from loantape.llm import bpe, html, language, mixing, negatives, pq, quality, sharding, simhash, suffixes, tries, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,12 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tries.exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -85,10 +91,29 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
 SQL: dict[str, str] = {
+    "op12_hard_negatives": """
+        WITH vectors AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        scores AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS alike, list_inner_product(a.v, b.v)::BIGINT AS score
+            FROM vectors a JOIN vectors b ON a.vec_id % 50 = 0 AND len(a.v) = len(b.v)),
+        positives AS (
+            SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE alike AND id <> anchor_id
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+        SELECT anchor_id, positive_id, (row_number() OVER best)::INT AS rank, id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN scores USING (anchor_id)
+        WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        QUALIFY row_number() OVER best <= 3
+        WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)""",
     "op13_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
