@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loantape.llm import bpe, html, language, mixing, negatives, pq, quality, sharding, simhash, suffixes, tries, warc
+from loantape.llm import bpe, html, language, mixing, negatives, pq, quality, sharding, simhash, suffixes, tries, warc, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=16, scale=64, offset=1_000_000)
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -91,6 +95,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_whitening": op11_whitening,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_exact_dedup": op13_exact_dedup,
 }
