@@ -117,8 +117,8 @@ SQL: dict[str, str] = {
         SELECT anchor_id, positive_id, (row_number() OVER best)::INT AS rank, id AS negative_id, positive_score, score AS negative_score
         FROM positives JOIN scores USING (anchor_id)
         WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
-        QUALIFY row_number() OVER best <= 3
-        WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)""",
+        WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+        QUALIFY row_number() OVER best <= 3""",
     "op13_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
