@@ -34,6 +34,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def other_columns(df: DataFrame, names: list[str]) -> list[str]:
+    """The columns of ``df`` that have none of these names, compared as the session compares them."""
+    if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true":
+        return [c for c in df.columns if c not in names]
+    low = {n.lower() for n in names}
+    return [c for c in df.columns if c.lower() not in low]
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its scheme; without one, Hadoop's default file system is meant."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return path.makeQualified(files.getUri(), files.getWorkingDirectory()).toString()
+
+
 def give_back() -> None:
     """Hand memory that was freed back to the system, where the C library can: Python workers live on
     into later stages."""

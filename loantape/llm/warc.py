@@ -20,10 +20,10 @@ from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loantape.llm.store import new_path, prepare, stored
+from loantape.llm.store import new_path, prepare, qualified, stored
 
 DATE = "2024-01-01T00:00:00Z"
 ARCHIVE_BYTES = 16 << 20
@@ -68,26 +68,26 @@ def record(page_id, url: str | None, payload: bytes, refers_to=None) -> bytes:
     return head(fields) + block + b"\r\n\r\n"
 
 
+def payload_sum(html_col: str) -> Column:
+    """SHA-1 and length of a page's payload: equal payloads are those of equal sums."""
+    payload = F.encode(F.coalesce(F.col(html_col), F.lit("")), "utf-8")
+    return F.concat(F.unhex(F.sha1(payload)), F.unhex(F.lpad(F.hex(F.length(payload).cast("bigint")), 16, "0")))
+
+
 def resolve(pages: DataFrame, id_col="page_id", html_col="html") -> DataFrame:
-    """``page_id``, ``refers_to`` of every page that repeats the payload of a page with a larger id.
+    """``page_id``, ``sum``, ``refers_to`` of every page that repeats the payload of a page with a
+    larger id, once for each id and payload.
 
-    Equal payloads are those of equal SHA-1 and length. Only ids and digests are shuffled; the
-    largest id is taken before the shuffle, and the join back is a plain one that Spark can split.
+    Only ids and sums are shuffled; the largest id is taken before the shuffle, and the join back is
+    a plain one that Spark can split.
     """
-    payload = F.encode(F.coalesce(F.col(html_col), F.lit("")), "utf-8")
-    keys = stored(
-        pages.select(
-            F.col(id_col).alias("page_id"),
-            F.concat(F.unhex(F.sha1(payload)), F.unhex(F.lpad(F.hex(F.length(payload).cast("bigint")), 16, "0"))).alias("sum"),
-        ),
-        "payloads",
-    )
+    keys = stored(pages.select(F.col(id_col).alias("page_id"), payload_sum(html_col).alias("sum")), "payloads")
     top = stored(
         keys.groupBy("sum").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("sum").alias("same"), "last"),
         "repeated",
     )
     found = keys.join(top, F.col("sum") == F.col("same")).where("page_id < last")
-    return found.select("page_id", F.col("last").alias("refers_to")).distinct()
+    return found.select("page_id", "sum", F.col("last").alias("refers_to")).distinct()
 
 
 def write(pages: DataFrame, folder: str, id_col="page_id", url_col="url", html_col="html") -> DataFrame:
@@ -95,14 +95,17 @@ def write(pages: DataFrame, folder: str, id_col="page_id", url_col="url", html_c
 
     A null html is an empty payload, a null url leaves its header out. Of equal payloads the row
     with the largest id is the response and all smaller ones revisit it; rows that repeat that id
-    are responses too, and so is a row without an id.
+    are responses too, and so is a row without an id. Pages of one id may have different payloads,
+    each of which is resolved by itself. A folder without a scheme lies in Hadoop's default file
+    system, here and below.
     """
     spark = prepare(pages.sparkSession)
-    links = resolve(pages, id_col, html_col).withColumnRenamed("page_id", "id")
+    folder = qualified(spark, folder)
+    links = resolve(pages, id_col, html_col).toDF("id", "same", "refers_to")
     rows = pages.select(
-        F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")
+        F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), payload_sum(html_col).alias("sum")
     )
-    joined = rows.join(links, F.col("page_id") == F.col("id"), "left").select(
+    joined = rows.join(links, (F.col("page_id") == F.col("id")) & (F.col("sum") == F.col("same")), "left").select(
         "page_id", "url", "html", "refers_to"
     )
 
@@ -207,6 +210,7 @@ def normalise(archives: DataFrame, folder: str, out_folder: str) -> DataFrame:
     Beside ``x.warc.gz`` lies ``x.index``: per record offset, length, type and id, one line each.
     """
     spark = prepare(archives.sparkSession)
+    folder, out_folder = qualified(spark, folder), qualified(spark, out_folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         source, top = _open(folder)
@@ -248,6 +252,7 @@ def read(archives: DataFrame, folder: str) -> DataFrame:
     The digest in the header is checked against the payload wherever there is one.
     """
     spark = prepare(archives.sparkSession)
+    folder = qualified(spark, folder)
     schema = (
         "page_id bigint, url string, record_type string, refers_to bigint, payload binary, "
         "payload_bytes bigint, payload_digest string"
