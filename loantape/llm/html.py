@@ -8,14 +8,14 @@ open; in the second pass they take the label of the nearest decided neighbours.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from html.parser import HTMLParser
+from functools import lru_cache
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loantape.llm.store import prepare
+from loantape.llm.store import other_columns, prepare
 
 # Frequent function words of some languages, and HTML's element names.
 STOP_WORDS = frozenset(
@@ -56,6 +56,21 @@ CHROME_NAMES = re.compile(
     |share\w*|sharing|sidebar\w*|signup|skip-link|social\w*|sponsor\w*|subscribe|toolbar|widget\w*)(?=$|[\s_-]|\d)""",
     re.VERBOSE,
 )
+FIRM_NAMES = re.compile(r"(?:^|[_-])(?:ads?(?=$|[_-])|advert|comment|disqus|foot|nav|menu|pagination|pager|promo|related|repl|respond|sidebar|social|share|sponsor|widget)")
+# Names that say what a page has, or how it shows it, and not what the element is.
+COMPOUND = re.compile(r"^(?:has|no|not|with|without|is|show|hide|use|enable|disable)[_-]|[_-](?:fixed|sticky|enabled|disabled|closed|open|visible|layout)$")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Elements whose content is read as text.
+RAW = frozenset("script style textarea title iframe noframes xmp noembed".split())
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_MARK = re.compile(r"<(?=/?[a-zA-Z]|/.|[!?])", re.DOTALL)
+_BARE_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)>")
+_GAP = re.compile(r"[\s/]*")
+_ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*)(\s*=\s*)?")
+_BARE = re.compile(r"[^\s>]*")
+_COMMENT_END = re.compile(r"--!?>")
+_NUMBER = re.compile(r"&#(?:[xX]([0-9a-fA-F]+)|([0-9]+));?")
+_READ = frozenset(["class", "id", "role", "style", "hidden", "aria-hidden"])
 ARTICLE_NAMES = re.compile(
     r"(?:^|[\s_-])(?:article|articlebody|content|entry|main|post|story|text)(?=$|[\s_-]|body|content|text)"
 )
@@ -65,6 +80,7 @@ CLOSED_BY = {
     "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]),
     "option": frozenset(["option"]),
 }
+PARAGRAPH = frozenset(["p"])
 LIMITS = frozenset(["ul", "ol", "dl", "table", "div", "section", "article", "main", "body"])
 
 SHORT = 60
@@ -74,120 +90,229 @@ STOP_HIGH = 0.25
 LINKS_HIGH = 0.35
 
 GOOD, BAD, OPEN = 1, 0, -1
+# How firm an inherited verdict is. A form or a wrapper named after something its page has may hold
+# the article itself; comments, teasers and the like may not, although they hold articles too.
+PLAIN, FORM, LOOSE, FIRM = 0, 1, 2, 3
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 class Block:
-    __slots__ = ("parts", "linked", "chars", "chrome", "article", "heading")
+    __slots__ = ("parts", "linked", "chars", "chrome", "article", "heading", "paragraph")
 
-    def __init__(self, chrome: bool, article: bool, heading: bool) -> None:
+    def __init__(self, chrome: bool, article: bool, heading: bool, paragraph: bool) -> None:
         self.parts: list[str] = []
         self.linked = self.chars = 0
-        self.chrome, self.article, self.heading = chrome, article, heading
+        self.chrome, self.article, self.heading, self.paragraph = chrome, article, heading, paragraph
 
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
 
 
-class _Reader(HTMLParser):
-    """Cuts a page into blocks at block elements; what is never shown is left out."""
+@lru_cache(maxsize=4096)
+def verdict_of_names(names: str, in_article: bool) -> int:
+    """What an element's class and id say: not chrome, wrapper of chrome or of a page that has some,
+    or chrome whatever is inside."""
+    found = PLAIN
+    for name in names.split():
+        if COMPOUND.search(name):
+            continue
+        if in_article:
+            # The header of an article holds its title.
+            name = name.replace("header", "")
+        if CHROME_NAMES.search(name):
+            found = max(found, FIRM if FIRM_NAMES.search(name) else LOOSE)
+    return found
+
+
+def _shorter(found: re.Match) -> str:
+    base, digits = ("x", found[1]) if found[1] else ("", found[2])
+    digits = digits.lstrip("0") or "0"
+    return f"&#{base}{digits};" if len(digits) < 9 else "\ufffd"
+
+
+def plain(text: str) -> str:
+    """The text with its character references decoded."""
+    if "&" not in text:
+        return text
+    # Numbers of thousands of digits are no characters, and slow to read.
+    return unescape(_NUMBER.sub(_shorter, text) if "&#" in text else text)
+
+
+class _Reader:
+    """Cuts a page into blocks at block elements; what is never shown is left out.
+
+    One pass forward: no part of the page is looked at more than a bounded number of times, and an
+    element is found among the open ones by its name's own list of places.
+    """
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
         # Open elements: name, hidden, chrome, article.
-        self.stack: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
+        self.stack: list[tuple[str, bool, int, bool]] = [("", False, PLAIN, False)]
+        # Places in the stack of each name, of block elements and of containers.
+        self.at: dict[str, list[int]] = {}
+        self.block_at, self.limit_at = [0], [0]
         self.links = 0
         self.now: Block | None = None
 
+    def read(self, page: str) -> list[Block]:
+        at, end = 0, len(page)
+        while at < end:
+            found = _MARK.search(page, at)
+            if found is None:
+                self._text(page[at:])
+                break
+            mark = found.start()
+            if mark > at:
+                self._text(page[at:mark])
+            at = self._markup(page, mark)
+        self._cut()
+        return self.blocks
+
+    def _markup(self, page: str, at: int) -> int:
+        """Read what begins with ``<`` and return where it ends."""
+        end = len(page)
+        if page.startswith("<!--", at):
+            if page.startswith((">", "->"), at + 4):
+                return page.index(">", at + 4) + 1
+            found = _COMMENT_END.search(page, at + 4)
+            return found.end() if found else end
+        if page[at + 1] in "!?" or (page[at + 1] == "/" and not page[at + 2 : at + 3].isalpha()):
+            if page.startswith("<![CDATA[", at):
+                found = page.find("]]>", at)
+                return found + 3 if found >= 0 else end
+            found = page.find(">", at + 2)
+            return found + 1 if found >= 0 else end
+        found = _BARE_TAG.match(page, at) or _TAG.match(page, at)
+        closing, tag = found[1], found[2].lower()
+        attrs: dict[str, str] = {}
+        at = found.end()
+        if page[at - 1] == ">":
+            at -= 1
+        while True:
+            at = _GAP.match(page, at).end()
+            if at >= end:
+                return end  # a tag that the page ends in is none
+            if page[at] == ">":
+                break
+            found = _ATTRIBUTE.match(page, at)
+            name, at = found[1].lower(), found.end()
+            value = ""
+            if found[2] is not None:
+                quote = page[at : at + 1]
+                if quote in ('"', "'") and quote:
+                    close = page.find(quote, at + 1)
+                    if close < 0:
+                        return end
+                    value, at = page[at + 1 : close], close + 1
+                else:
+                    found = _BARE.match(page, at)
+                    value, at = found[0], found.end()
+            if name in _READ and name not in attrs:
+                attrs[name] = plain(value)
+        own_end = page[at - 1] == "/"
+        at += 1
+        if closing:
+            self._end(tag)
+            return at
+        self._start(tag, attrs)
+        if tag in RAW:
+            # What such an element holds is no markup.
+            found = re.compile(f"</{tag}(?=[\\s/>])", re.IGNORECASE).search(page, at)
+            if found is None:
+                return end
+            return self._markup(page, found.start())
+        if own_end and tag not in VOID and tag != "br":
+            self._end(tag)
+        return at
+
     def _cut(self) -> None:
         if self.now is not None and self.now.chars:
             self.blocks.append(self.now)
         self.now = None
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+    def _start(self, tag: str, attrs: dict[str, str]) -> None:
         if tag == "br":
             self._add(" ")
             return
         if tag in BLOCKS:
             self._cut()
-            self._close(CLOSED_BY.get(tag, frozenset(["p"])))
+            self._close(CLOSED_BY.get(tag, PARAGRAPH))
         if tag in VOID:
             return
         _, hidden, chrome, article = self.stack[-1]
-        named = " ".join(v.lower() for k, v in attrs if k in ("class", "id") and v)
-        roles = {v.lower() for k, v in attrs if k == "role" and v}
-        known = dict(attrs)
-        hidden = hidden or tag in HIDDEN or "hidden" in known or known.get("aria-hidden") == "true"
-        if "style" in known:
-            hidden = hidden or bool(re.search(r"display\s*:\s*none", known["style"] or ""))
-        inside = tag in ("article", "main") or (tag in BLOCKS and bool(ARTICLE_NAMES.search(named)))
-        if tag not in ("html", "body", "article", "main"):
-            by_tag = tag in CHROME
-            if article or inside:
-                # The header of an article holds its title.
-                by_tag = by_tag and tag != "header"
-                named = named.replace("header", "")
-            chrome = chrome or by_tag or bool(roles & CHROME_ROLES) or bool(CHROME_NAMES.search(named))
-        article = article or inside
+        named = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower() if attrs else ""
+        hidden = hidden or tag in HIDDEN or "hidden" in attrs or attrs.get("aria-hidden") == "true"
+        if "style" in attrs:
+            hidden = hidden or bool(re.search(r"display\s*:\s*none", attrs["style"]))
+        inside = tag in ("article", "main") or (tag in BLOCKS and named != "" and bool(ARTICLE_NAMES.search(named)))
+        if tag == "main" or (inside and chrome == FORM) or (tag == "article" and chrome == LOOSE):
+            # The page's wrapper had a name of something that the page has besides.
+            chrome = min(chrome, PLAIN) if chrome < FIRM or tag == "main" else chrome
+        if (attrs or tag in CHROME) and tag not in ("html", "body", "article", "main"):
+            by_tag = FIRM if tag in CHROME else PLAIN
+            if tag == "form":
+                by_tag = FORM
+            if tag == "header" and (article or inside):
+                by_tag = PLAIN
+            if attrs.get("role", "").lower() in CHROME_ROLES:
+                by_tag = max(by_tag, FORM if attrs["role"].lower() == "form" else FIRM)
+            chrome = max(chrome, by_tag, verdict_of_names(named, article or inside))
         if tag == "a":
             self.links += 1
-        self.stack.append((tag, hidden, chrome, article))
+        place = len(self.stack)
+        self.at.setdefault(tag, []).append(place)
+        if tag in BLOCKS:
+            self.block_at.append(place)
+        if tag in LIMITS:
+            self.limit_at.append(place)
+        self.stack.append((tag, hidden, chrome, article or inside))
+
+    def _last(self, tag: str) -> int:
+        held = self.at.get(tag)
+        return held[-1] if held else 0
 
     def _close(self, names: frozenset[str]) -> None:
         """End the innermost of these elements, unless it lies outside the container we are in."""
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i][0] in names:
-                self._leave(i)
-                return
-            if self.stack[i][0] in LIMITS:
-                return
-
-    def _leave(self, at: int) -> None:
-        self.links -= sum(1 for e in self.stack[at:] if e[0] == "a")
-        del self.stack[at:]
-
-    def handle_endtag(self, tag: str) -> None:
+        place = max(map(self._last, names))
+        if place > self.limit_at[-1]:
+            self._leave(place)
+
+    def _leave(self, place: int) -> None:
+        for tag, *_ in reversed(self.stack[place:]):
+            self.at[tag].pop()
+            self.links -= tag == "a"
+        del self.stack[place:]
+        for held in (self.block_at, self.limit_at):
+            while held[-1] >= place:
+                held.pop()
+
+    def _end(self, tag: str) -> None:
         if tag in BLOCKS:
             self._cut()
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i][0] == tag:
-                self._leave(i)
-                return
-            if tag not in BLOCKS and self.stack[i][0] in BLOCKS:
-                return
-
-    def handle_startendtag(self, tag: str, attrs) -> None:
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID and tag != "br":
-            self.handle_endtag(tag)
+        place = self._last(tag)
+        if place and (tag in BLOCKS or place > self.block_at[-1]):
+            self._leave(place)
 
-    def handle_data(self, data: str) -> None:
-        self._add(data)
+    def _text(self, text: str) -> None:
+        self._add(plain(text))
 
     def _add(self, data: str) -> None:
         tag, hidden, chrome, article = self.stack[-1]
         if hidden:
             return
         if self.now is None:
-            heading = any(e[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for e in self.stack[-3:])
-            self.now = Block(chrome, article, heading)
+            near = {e[0] for e in self.stack[-3:]}
+            self.now = Block(chrome > PLAIN, article, bool(near & HEADINGS), self.stack[self.block_at[-1]][0] == "p")
         seen = len(data) - data.count(" ") if data.strip() else 0
         self.now.parts.append(data)
         self.now.chars += seen
         if self.links:
             self.now.linked += seen
 
-    def unknown_decl(self, data: str) -> None:  # <![CDATA[ ... ]]> outside SVG is a comment
-        pass
-
 
 def blocks_of(page: str) -> list[Block]:
-    reader = _Reader()
-    reader.feed(page)
-    reader.close()
-    reader._cut()
-    return reader.blocks
+    return _Reader().read(page)
 
 
 def judge(block: Block, text: str, has_article: bool) -> int:
@@ -195,7 +320,7 @@ def judge(block: Block, text: str, has_article: bool) -> int:
     if block.chrome:
         return BAD
     links = block.linked / block.chars
-    if links > LINKS_HIGH and not block.heading:
+    if links > LINKS_HIGH and not block.heading and not (block.article and block.paragraph):
         return BAD
     if text[0] in "©" and len(text) < LONG:
         return BAD
@@ -276,7 +401,7 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
             [pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], ["text", "n_chars"]
         )
 
-    kept = [c for c in pages.columns if c not in ("text", "n_chars")]
+    kept = other_columns(pages, ["text", "n_chars"])
     row = F.struct(*[F.col(f"`{c}`") for c in kept])
     held = pages.select(row.alias("row"), run(F.col(f"`{html_col}`")).alias("made"))
     return held.select(*[F.col(f"row.`{c}`") for c in kept], "made.text", "made.n_chars")
