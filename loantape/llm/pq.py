@@ -39,19 +39,15 @@ ASK_ROWS = 8192
 PAIR_ROWS = 1 << 15
 
 
-def unit(vectors: list, dims: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which of the vectors can be compared, and those at length one."""
-    good = np.zeros(len(vectors), bool)
-    out = np.zeros((len(vectors), dims))
-    for i, v in enumerate(vectors):
-        if v is None or len(v) != dims or any(x is None for x in v):
-            continue
-        row = np.asarray(v, np.float64)
-        if np.isfinite(row).all() and (top := np.abs(row).max(initial=0.0)) > 0:
-            row = row / top
-            out[i] = row / np.sqrt(row @ row)
-            good[i] = True
-    return good, out
+def unit(vector: list | None) -> np.ndarray | None:
+    """The vector at length one; nothing if it cannot be compared."""
+    if vector is None or any(x is None for x in vector):
+        return None
+    row = np.asarray(vector, np.float64)
+    if not np.isfinite(row).all() or not (top := np.abs(row).max(initial=0.0)) > 0:
+        return None
+    row = row / top
+    return row / np.sqrt(row @ row)
 
 
 def kmeans(points: np.ndarray, k: int, seed: int) -> np.ndarray:
@@ -119,21 +115,33 @@ class Index:
         return out
 
 
-def _matrix(column: pa.Array, dims: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, dims)
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Vectors of one length."""
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), np.float64).reshape(len(rows), -1)
+
+
+def leading(units: list[bytes], dims: int) -> np.ndarray:
+    """The first ``dims`` components of vectors of any length, zero where there are none."""
+    out = np.zeros((len(units), dims))
+    for i, x in enumerate(units):
+        row = np.frombuffer(x, np.float64, min(dims, len(x) // 8))
+        out[i, : len(row)] = row
+    return out
 
 
-def fit(vectors: DataFrame, sample: int = SAMPLE) -> Index | None:
-    """An index of the classes in ``vectors`` (``class_id``, ``unit``), fitted on a bounded sample."""
+def fit(vectors: DataFrame, dims: int, sample: int = SAMPLE) -> Index | None:
+    """An index of the first ``dims`` components of the classes in ``vectors`` (``class_id``, ``unit``),
+    fitted on a bounded sample."""
     n, most = vectors.groupBy("label").count().agg(F.sum("count"), F.max("count")).first()
     if not n:
         return None
     share = min(1.0, sample / n)
-    drawn = F.pmod(F.xxhash64("class_id"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1
-    rows = vectors.where(drawn).select("class_id", "unit").toPandas().sort_values("class_id")
+    drawn = F.pmod(F.xxhash64("label", "unit"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1
+    rows = vectors.where(drawn).select("label", F.substring("unit", 1, 8 * dims).alias("unit")).toPandas().sort_values(["label", "unit"])
     if not len(rows):
         return None
-    points = np.frombuffer(b"".join(rows["unit"]), np.float64).reshape(len(rows), -1)
+    points = leading(rows["unit"].tolist(), dims)
     # Labels share the lists, so their number goes by the largest label.
     return Index(points, int(min(MAX_LISTS, max(1, most // LIST_ROWS), len(points))))
 
@@ -196,9 +204,9 @@ def near_duplicates(
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` per row of ``vectors``.
 
     Two rows link if their labels are equal and not null and their cosine, in double precision, is
-    at least ``cosine``. A vector that is null, empty or zero, that has another number of components
-    than most, or holds null or non-finite ones links with nothing. Vectors that are equal once at
-    length one are one class, which is searched once; its rows count one another.
+    at least ``cosine``. A vector that is null, empty or zero, or holds null or non-finite components
+    links with nothing, and vectors of different numbers of components do not link. Vectors that are
+    equal once at length one are one class, which is searched once; its rows count one another.
     Rows that repeat an id count as rows of their own; rows without an id link like any other, and
     have a null component if nothing they reach has one. An empty table gives an empty table.
     """
@@ -206,15 +214,20 @@ def near_duplicates(
     reach = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
     lengths = vectors.groupBy(F.size(vector_col).alias("d")).count().where("d > 0")
     commonest = lengths.orderBy(F.col("count").desc(), "d").first()
+    # The index sees that many leading components of vectors of any length: two of them are no
+    # further apart there than they are, so whatever it passes over is too far.
     dims = commonest["d"] if commonest else 0
 
     def ready(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good, points = unit(batch.column(2).to_pylist(), dims)
-            labels = batch.column(1).to_pylist()
-            made = [p.tobytes() if g and lb is not None else None for g, p, lb in zip(good, points, labels)]
+            made, labels = [], []
+            for label, vector in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                at = None if label is None else unit(vector)
+                made.append(None if at is None else at.tobytes())
+                # Each length is among itself, like each label.
+                labels.append(None if at is None else f"{len(at)}:{label}")
             yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array(made, pa.binary())], ["vec_id", "label", "unit"]
+                [batch.column(0), pa.array(labels, pa.string()), pa.array(made, pa.binary())], ["vec_id", "label", "unit"]
             )
 
     rows = vectors.select(
@@ -228,9 +241,10 @@ def near_duplicates(
         F.min("vec_id").alias("lowest"), F.count(F.lit(1)).alias("copies")
     )
     classes = stored(
-        classes.select(F.xxhash64("label", "unit").alias("class_id"), "label", "unit", "lowest", "copies"), "classes"
+        # Numbers, which the stored table keeps; a hash could give two classes one.
+        classes.select(F.monotonically_increasing_id().alias("class_id"), "label", "unit", "lowest", "copies"), "classes"
     )
-    index = fit(classes)
+    index = fit(classes, dims)
     if index is None:
         return rows.select(
             "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
@@ -240,7 +254,7 @@ def near_duplicates(
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = shared.value
         for batch in batches:
-            points = _matrix(batch.column(2), dims)
+            points = leading(batch.column(2).to_pylist(), dims)
             probes = at.probes(points, reach)
             lists = np.array([p[0] for p in probes], np.int64)
             codes, lost = at.encode(points, lists)
@@ -262,7 +276,7 @@ def near_duplicates(
         out: dict[str, list] = {"class_id": [], "links": [], "other": []}
         if left.num_rows and right.num_rows:
             ids = np.asarray(right["class_id"])
-            points = _matrix(right["unit"].combine_chunks(), dims)
+            points = _matrix(right["unit"].combine_chunks())
             codes = np.frombuffer(b"".join(right["codes"].to_pylist()), np.uint8).reshape(len(ids), -1)
             lost = np.asarray(right["lost"])
             copies = np.asarray(right["copies"])
@@ -271,10 +285,10 @@ def near_duplicates(
             for low in range(0, left.num_rows, QUERY_ROWS):
                 part = left.slice(low, QUERY_ROWS)
                 q_ids = np.asarray(part["class_id"])
-                q_points = _matrix(part["unit"].combine_chunks(), dims)
+                q_points = _matrix(part["unit"].combine_chunks())
                 q_copies = np.asarray(part["copies"])
                 own = np.asarray(part["own"])
-                table = at.table(q_points, number)
+                table = at.table(leading(part["unit"].to_pylist(), dims), number)
                 far = np.zeros((len(q_ids), len(ids)))
                 for i in range(codes.shape[1]):
                     far += table[:, i, codes[:, i]]
