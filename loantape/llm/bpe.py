@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loantape.llm.store import prepare
+from loantape.llm.store import other_columns, prepare
 
 # Bounds of what a worker keeps, some 400 MB in all.
 MAX_STATES = 1 << 18
@@ -296,7 +296,7 @@ def tokenise(
         arrays = [pa.array(made[n], types[COLUMNS[n]]) for n in names]
         return pa.StructArray.from_arrays(arrays, names)
 
-    kept = [c for c in docs.columns if c not in names]
+    kept = other_columns(docs, names)
     row = F.struct(*[F.col(f"`{c}`") for c in kept])
     held = docs.select(row.alias("row"), run(F.col(f"`{text_col}`")).alias("made"))
     return held.select(*[F.col(f"row.`{c}`") for c in kept], *[F.col(f"made.{n}") for n in names])

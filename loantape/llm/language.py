@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loantape.llm.store import prepare
+from loantape.llm.store import other_columns, prepare
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
@@ -175,7 +175,7 @@ def identify(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
 
         # Else a filter on the answer is pushed below it and every text is scored twice.
         answer = best.asNondeterministic()(F.col(f"`{text_col}`"))
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    kept = other_columns(docs, ["lang_pred", "score"])
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), answer.alias("made"))
     return held.select(*[F.col(f"row.`{c}`") for c in kept], "made.lang_pred", "made.score")
 

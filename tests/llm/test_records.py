@@ -59,6 +59,19 @@ def test_vector_lists_lose_nothing(spark, monkeypatch):
     assert got == want
 
 
+def test_vectors_of_several_lengths(spark):
+    r = random.Random(16)
+    rows = []
+    for n in (3, 2, 5, 1):
+        for i in range(60 if n == 3 else 25):
+            v = [r.gauss(0, 1) for _ in range(n)]
+            rows += [(len(rows), v, i % 2), (len(rows) + 1, [x * 3 + r.gauss(0, 0.05) for x in v], i % 2)]
+    rows += [(900, [1.0, 2.0, 3.0, 4.0, 5.0], 0), (901, [2.0, 4.0, 6.0, 8.0, 10.0], 0), (902, [1.0, 2.0, 3.0], 0), (903, [1.0, 2.0, 3.0, 0.0], 0)]
+    got = {x.vec_id: (x.n_links, x.component_id) for x in pq.near_duplicates(spark.createDataFrame(rows, "vec_id int, embedding array<double>, label int")).collect()}
+    want = brute.vector_links(rows)
+    assert got == want and want[901] == (1, 900) and want[903][1] == 903
+
+
 PAGES = [
     (1, "http://a/1?x=ü y", "<p>ä</p>"), (2, None, None), (3, "u\r\nX: y", ""), (4, "http://a", "<p>ä</p>"),
     (9, "http://a", "\r\n\r\nWARC/1.1\r\n\r\n"), (5, "u", "z" * 3_000_000), (6, "u", "z" * 3_000_000), (7, "u", "q"), (7, "u", "q"),
@@ -110,3 +123,26 @@ def test_streams_that_end_too_early():
     for broken in (gzip.compress(raw)[:-50], gzip.compress(raw[:-9])):
         with pytest.raises(EOFError):
             list(warc.records(warc.Stream(io.BytesIO(broken))))
+
+
+def test_one_id_with_several_payloads(spark):
+    rows = [(5, "AAAA"), (5, "BBBB"), (5, "CCCC"), (9, "AAAA"), (10, "BBBB"), (5, "CCCC"), (None, "AAAA"), (None, "ZZ")]
+    table = spark.createDataFrame([(i, "u", h) for i, h in rows], "page_id bigint, url string, html string")
+    got = sorted([(x.page_id, x.payload_bytes, x.record_type, x.refers_to) for x in warc.round_trip(spark, table).collect()], key=repr)
+    assert got == sorted([
+        (5, 4, "revisit", 9), (5, 4, "revisit", 10), (5, 4, "response", None), (5, 4, "response", None),
+        (9, 4, "response", None), (10, 4, "response", None), (None, 4, "response", None), (None, 2, "response", None),
+    ], key=repr)
+
+
+def test_folder_without_a_scheme_is_qualified_on_the_driver(spark, tmp_path):
+    table = spark.createDataFrame(PAGES, "page_id bigint, url string, html string")
+    seen = []
+    plain = warc._open
+    assert warc.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    warc._open = lambda folder: seen.append(folder) or plain(folder)
+    try:
+        made = warc.write(table, f"{tmp_path}/whole")
+    finally:
+        warc._open = plain
+    assert made.count() >= 1 and all(f.startswith("file:") for f in seen)
