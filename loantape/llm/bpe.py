@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loantape.llm.store import other_columns, prepare
+from loantape.llm.store import other_columns, prepare, worker_caches
 
 # Bounds of what a worker keeps, some 400 MB in all.
 MAX_STATES = 1 << 18
@@ -51,6 +51,7 @@ class Encoder:
         self.ranks = ranks
         self.pattern = regex.compile(pattern)
         self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.tokens = {token: token for token in ranks}
         self.digits = {rank: str(rank) for rank in ranks.values()}
         # All beginnings of longer tokens: a position stays open as long as what follows it is one.
         self.starts = {t[:n] for t in ranks for n in range(1, len(t))}
@@ -65,6 +66,8 @@ class Encoder:
         # Number -> token before the tail, tail, for each position of the tail where the token that
         # ends there begins, and the open positions.
         self.states: list[tuple[bytes, bytes, tuple[int, ...], tuple[int, ...]]] = []
+        # Few different places occur, so states share them.
+        self.shapes: dict[tuple[int, ...], tuple[int, ...]] = {}
         self.numbers: dict[tuple[bytes, bytes], int] = {}
         self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
         self.start = self._number(b"", b"", (-1,), (0,))
@@ -73,8 +76,10 @@ class Encoder:
         key = (before, tail)
         known = self.numbers.get(key)
         if known is None:
+            key = before, tail = self.tokens.get(before, before), tail
             known = self.numbers[key] = len(self.states)
-            self.states.append((before, tail, back, open_))
+            share = self.shapes.setdefault
+            self.states.append((before, tail, share(back, back), share(open_, open_)))
         return known
 
     def merge(self, text: bytes, stop: int = 1) -> list[bytes]:
@@ -237,6 +242,10 @@ def _encoder(lines: bytes, pattern: str) -> Encoder:
     return Encoder(read_ranks(lines), pattern)
 
 
+# Other operators' tasks in the same worker do without.
+worker_caches.append(_encoder.cache_clear)
+
+
 COLUMNS = {
     "ids": "array<int>",
     "n_tokens": "bigint",

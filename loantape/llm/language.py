@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loantape.llm.store import other_columns, prepare
+from loantape.llm.store import drop_caches, other_columns, prepare
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
@@ -170,6 +170,7 @@ def identify(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
 
         @F.arrow_udf(found)
         def best(texts: pa.Array) -> pa.Array:
+            drop_caches()
             pred, sure = score(texts.to_pylist(), langs, logp.value)
             return pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(sure)], ["lang_pred", "score"])
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loantape.llm.components import components
-from loantape.llm.store import prepare, stored
+from loantape.llm.store import give_back, prepare, stored
 
 SEED = 42
 # Shingles hashed at a time, so that a very long text does not need its whole bit matrix at once.
@@ -45,6 +45,7 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col="doc_id", text_col="tex
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             found = [fingerprint(t.as_py(), words) for t in batch.column(1)]
             signed = np.array(found, dtype=np.uint64).view(np.int64)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,9 +50,19 @@ def qualified(spark: SparkSession, folder: str) -> str:
     return path.makeQualified(files.getUri(), files.getWorkingDirectory()).toString()
 
 
+# What Python workers keep between the tasks of one operator, as functions that drop it.
+worker_caches: list[Callable[[], None]] = []
+
+
+def drop_caches() -> None:
+    """Drop what other operators keep in this Python worker: workers live on into later stages."""
+    for clear in worker_caches:
+        clear()
+
+
 def give_back() -> None:
-    """Hand memory that was freed back to the system, where the C library can: Python workers live on
-    into later stages."""
+    """Drop the caches, and hand memory that was freed back to the system, where the C library can."""
+    drop_caches()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
