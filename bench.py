@@ -61,14 +61,25 @@ def main() -> None:
     def monthly():
         return staged[-1]
 
+    def long_lives():
+        # As many rows, of a fifteenth of the loans: some 60 months each.
+        some = monthly().where(F.pmod(F.xxhash64("lnId"), F.lit(15)) == 0)
+        months = some.withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(14))))
+        return months.withColumn("month", F.add_months("month", F.col("__i"))).drop("__i")
+
+    def blank_ids():
+        blank = F.pmod(F.xxhash64("lnId"), F.lit(3)) == 0
+        return monthly().withColumn("lnId", F.when(blank, "").otherwise(F.col("lnId")))
+
     order = tl.order_key(F.col("month"), F.col("payHist"))
     item = {n: F.col(n) for n in ("month", "upb", "dq", "zb")}
     steps = {
         "load_tapes": load,
-        "loan_rollup": lambda: drain(loan_rollup(monthly(), id_map, tie=["payHist"])),
-        "loan_rollup_no_size_check": lambda: drain(
-            loan_rollup(monthly(), id_map, tie=["payHist"], piece=None)
-        ),
+        "loan_rollup": lambda: drain(loan_rollup(monthly(), id_map)),
+        "loan_rollup_by_a_column": lambda: drain(loan_rollup(monthly(), id_map, tie=["payHist"])),
+        "loan_rollup_no_size_check": lambda: drain(loan_rollup(monthly(), id_map, piece=None)),
+        "loan_rollup_60_months": lambda: drain(loan_rollup(long_lives(), id_map)),
+        "loan_rollup_blank_id": lambda: drain(loan_rollup(blank_ids(), id_map)),
         "timeline": lambda: drain(tl.timeline(monthly(), KEYS, order, item)),
         "qa_profile": lambda: drain(quality.qa_profile(monthly(), KEYS)),
         "size_check": lambda: skew.hot_groups(monthly(), KEYS, tl.PIECE),

@@ -113,6 +113,17 @@ from orders where o_orderkey % 50 = 0
 """
 
 
+# Legal codes, in place of the rules for areas and postal prefixes: some codes of the right form that
+# loans hold are absent, and one of another form is legal.
+CODES_SQL = """
+select 'msa' as field,
+ case o_orderkey % 5 when 0 then '44444' when 1 then '31080' when 3 then '99999' else '20202' end as code
+from orders
+union all
+select 'zip3', lpad(cast(p_partkey % 1000 as string),3,'0') from part where p_partkey % 1000 % 7 <> 3
+"""
+
+
 def register(spark: SparkSession, sf_dir: str) -> None:
     for name in TABLES:
         spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
@@ -124,6 +135,11 @@ def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(WIDE_SQL)
 
 
+def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register(spark, sf_dir)
+    return spark.sql(CODES_SQL)
+
+
 def id_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     register(spark, sf_dir)
     return spark.sql(ID_MAP_SQL)

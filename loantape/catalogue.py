@@ -23,7 +23,7 @@ STATES = (
 ).split()
 
 # Three-digit postal prefixes run from 005 to 999. Which of them are assigned changes, so the list is
-# a parameter (``zip3_codes``); without one, every code of that form is legal.
+# a table of codes (``operators.codes``); without one, every code of that form is legal.
 ZIP3_PATTERN = "^(00[5-9]|0[1-9][0-9]|[1-9][0-9]{2})$"
 
 # Retired area codes and the codes that replaced them.
@@ -45,8 +45,10 @@ MSA_RECODE = {
 }
 NO_MSA = "00000"
 # Statistical areas are numbered 10000 to 49999. The official list changes every few years, so it is
-# a parameter (``msa_codes``); without one, every code of that form is legal.
+# a table of codes (``operators.codes``); without one, every code of that form is legal.
 MSA_PATTERN = "^(00000|[1-4][0-9]{4})$"
+# Retired area codes stay legal whatever the list, because they are replaced after the check.
+ALWAYS_LEGAL = {"msa": [*MSA_RECODE, NO_MSA]}
 
 DQ_LEVELS = [f"{n:02d}" for n in range(100)]
 
@@ -252,14 +254,11 @@ def fields(
     msa_codes: Iterable[str] | None = None,
     zip3_codes: Iterable[str] | None = None,
 ) -> list[FieldSpec]:
-    """Tape fields, optionally some of them only and with explicit lists of legal codes for areas
-    and postal prefixes.
-
-    Retired area codes stay legal whatever the list, because they are replaced after the check.
-    """
+    """Tape fields, optionally some of them only and with short lists of legal codes for areas and
+    postal prefixes; lists of any length go to ``monthly_table`` as a table of codes."""
     specs = [*TAPE_FIELDS, *EXTENDED_FIELDS]
     if msa_codes is not None:
-        legal = sorted({*msa_codes, *MSA_RECODE, NO_MSA})
+        legal = sorted({*msa_codes, *ALWAYS_LEGAL["msa"]})
         specs = [f.with_levels(legal) if f.name == "msa" else f for f in specs]
     if zip3_codes is not None:
         legal = sorted(set(zip3_codes))

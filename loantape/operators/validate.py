@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loantape.functions.scalars import parse
+from loantape.operators.codes import legal_name, mark_codes
 from loantape.spec import FieldSpec
 
 QA = "qa"
@@ -53,8 +54,11 @@ def valid_dates(value: Column, low: date, as_of: date, horizon_months: int = 0)
 
 
 def is_legal(value: Column, spec: FieldSpec, as_of: date) -> Column:
-    """Does a typed value meet the field's rule? NULL values do not."""
-    if spec.levels is not None:
+    """Does a typed value meet the field's rule? NULL values do not. The mark of ``mark_codes`` stands
+    for the value of a coded field."""
+    if spec.coded:
+        ok = F.col(legal_name(spec.name))
+    elif spec.levels is not None:
         ok = valid_levels(value, spec.levels)
     elif spec.pattern is not None:
         ok = value.rlike(spec.pattern)
@@ -94,9 +98,14 @@ def _text_name(name: str) -> str:
 
 
 def check_fields(
-    df: DataFrame, specs: Iterable[FieldSpec], as_of: date, keep: Iterable[str] = ()
+    df: DataFrame,
+    specs: Iterable[FieldSpec],
+    as_of: date,
+    keep: Iterable[str] = (),
+    codes: DataFrame | None = None,
 ) -> DataFrame:
-    """Steps 1 and 2: legal values and defaults, NULL where a field failed."""
+    """Steps 1 and 2: legal values and defaults, NULL where a field failed. ``codes`` is the table
+    that coded specs are held to."""
     specs, keep = list(specs), list(keep)
     # Typed fields with a default need their text once more, to tell "no text" from "bad text".
     with_text = [f for f in specs if f.kind != "string" and f.default is not None]
@@ -105,6 +114,11 @@ def check_fields(
         *[_typed(_col(f.name), f).alias(f.name) for f in specs],
         *[_col(f.name).alias(_text_name(f.name)) for f in with_text],
     )
+    coded = [f.name for f in specs if f.coded]
+    if coded and codes is None:
+        raise ValueError(f"no table of codes for {coded}")
+    if coded:
+        typed = mark_codes(typed, codes, coded)
     return typed.select(*[_col(k) for k in keep], *[_checked(f, as_of).alias(f.name) for f in specs])
 
 
@@ -156,10 +170,11 @@ def validate(
     keep: Iterable[str] = (),
     qa: str | None = QA,
     recode: Mapping[str, Mapping[str, str]] | None = None,
+    codes: DataFrame | None = None,
 ) -> DataFrame:
     """All three steps on a table of texts."""
     specs, keep = list(specs), list(keep)
-    return fill_missing(check_fields(df, specs, as_of, keep), specs, keep, qa, recode=recode)
+    return fill_missing(check_fields(df, specs, as_of, keep, codes), specs, keep, qa, recode=recode)
 
 
 def recode_values(code: Column, mapping: Mapping[str, str]) -> Column:

@@ -14,7 +14,7 @@ from loantape.functions.scalars import age_fp, harp_flag, month_end
 from loantape.operators import aggregate as A
 from loantape.operators import quality, skew
 from loantape.operators.links import link_predecessor, link_successor
-from loantape.operators.timeline import PIECE, gathered, nest, order_key, row_hash, timeline
+from loantape.operators.timeline import PIECE, gathered, nest, order_key, packed_order, row_hash, timeline
 
 KEYS = ["file", "lnId"]
 
@@ -111,20 +111,36 @@ def loan_rollup(
     found by one count of the key columns and take another plan; ``piece=None`` skips the count and
     keeps every timeline whole. ``monthly`` should be a stored table, as the count reads it, too.
     """
+    return loan_tables(monthly, id_map, tie, compat, piece)[0]
+
+
+def loan_tables(
+    monthly: DataFrame,
+    id_map: DataFrame | None = None,
+    tie: Iterable[str] | None = None,
+    compat: bool = True,
+    piece: int | None = PIECE,
+) -> tuple[DataFrame, DataFrame]:
+    """What ``loan_rollup`` gives, and what ``loan_timelines`` gives from part 1 on, from one count of
+    the keys and one ranking of the long groups, whose ranges are stored for both."""
     rows = _ordered(monthly, tie)
     hot = None if piece is None else skew.hot_groups(monthly, KEYS, piece)
     if hot is None:
         loans = _whole_loans(rows, compat)
+        rest = monthly.sparkSession.createDataFrame([], _timelines_schema())
     else:
         match = skew.null_safe(rows, hot, KEYS)
-        loans = _whole_loans(rows.join(hot, match, "left_anti"), compat).unionByName(
-            _long_loans(rows.join(hot, match, "left_semi"), hot, compat, piece)
-        )
+        far = rows.join(hot, match, "left_semi")
+        n_rows = hot.agg(F.sum("n_rows")).first()[0]
+        pieces = skew.rank_pieces(far, KEYS, F.col("__order"), timeline_item(), piece, n_rows)
+        loans = _whole_loans(rows.join(hot, match, "left_anti"), compat).unionByName(_long_loans(far, pieces, compat))
+        rest = skew.gather_pieces(pieces.where(F.col("part") >= 1), KEYS, "monthly").select(*KEYS, "part", "monthly")
+        rest = rest.to(_timelines_schema())
     if id_map is None:
         loans = loans.withColumns({"harpLnId": F.lit(""), "preHarpId": F.lit("")})
     else:
         loans = link_predecessor(link_successor(loans, id_map), id_map)
-    return loans.select(*loan_schema().names).to(loan_schema())
+    return loans.select(*loan_schema().names).to(loan_schema()), rest
 
 
 def loan_timelines(
@@ -145,8 +161,11 @@ def loan_timelines(
 
 
 def _ordered(monthly: DataFrame, tie: Iterable[str] | None) -> DataFrame:
-    ties = [F.col(t) for t in tie] if tie is not None else [row_hash(monthly)]
-    return star_plus(monthly).withColumn("__order", order_key(F.col("month"), *ties))
+    if tie is None:
+        order = packed_order(F.col("month"), row_hash(monthly))
+    else:
+        order = order_key(F.col("month"), *[F.col(t) for t in tie])
+    return star_plus(monthly).withColumn("__order", order)
 
 
 def _finished(grouped: DataFrame) -> DataFrame:
@@ -176,7 +195,7 @@ def _whole_loans(rows: DataFrame, compat: bool) -> DataFrame:
     return _finished(profiled.drop("__tokens"))
 
 
-def _long_loans(rows: DataFrame, hot: DataFrame, compat: bool, piece: int) -> DataFrame:
+def _long_loans(rows: DataFrame, pieces: DataFrame, compat: bool) -> DataFrame:
     """Loans too long for one task: aggregates combine before the shuffle, and of the timelines only
     first pieces, one per loan, meet them."""
     order = F.col("__order")
@@ -185,8 +204,6 @@ def _long_loans(rows: DataFrame, hot: DataFrame, compat: bool, piece: int) -> Da
         *[agg.alias(name) for name, agg in static_aggregates(order, compat).items()],
     )
     profiled = quality.join_qa(statics, quality.qa_profile(rows, KEYS), KEYS)
-    n_rows = hot.agg(F.sum("n_rows")).first()[0]
-    pieces = skew.rank_pieces(rows, KEYS, order, timeline_item(), piece, n_rows)
     first = skew.gather_pieces(pieces.where(F.col("part") == 0), KEYS, "monthly")
     named = first.select(*[F.col(k).alias(f"__{k}") for k in KEYS], "monthly")
     match = F.lit(True)
@@ -202,6 +219,11 @@ def _field(name: str) -> T.StructField:
     return field
 
 
+def _timelines_schema() -> T.StructType:
+    fields = {f.name: f for f in loan_schema().fields}
+    return T.StructType([_field("file"), _field("lnId"), T.StructField("part", T.IntegerType()), fields["monthly"]])
+
+
 def loan_schema() -> T.StructType:
     """Columns, types and descriptions of the loan table."""
     monthly = T.StructType([_field(n) for n in TIMELINE])

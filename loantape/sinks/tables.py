@@ -26,31 +26,6 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def write_loans(
-    loans: DataFrame,
-    table: str,
-    create: bool = True,
-    path: str | None = None,
-    order: Iterable[str] = ("lnId",),
-) -> None:
-    """Create or replace the loan table, or append to it, each written file a range of the key.
-
-    Descriptions go along as comments. Appending loans of a file that the table already holds
-    raises, so that a run repeated by mistake does not double its loans; to load files anew, run
-    with ``create``.
-    """
-    if not create and "file" in loans.columns:
-        known = loans.sparkSession.table(table).select("file").distinct()
-        again = loans.select("file").distinct().join(known, "file", "left_semi").limit(5).collect()
-        if again:
-            raise ValueError(f"{table} already holds loans of {[r.file for r in again]}")
-    ranged = loans.repartitionByRange(*order).sortWithinPartitions(*order)
-    writer = ranged.write.format("parquet").mode("overwrite" if create else "append")
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
-
-
 def append_runs(standard: DataFrame, other: DataFrame) -> DataFrame:
     """The rows of two runs in one table."""
     return standard.unionByName(other)

@@ -24,7 +24,8 @@ class FieldSpec:
 
     ``levels`` lists the allowed texts, ``low``/``high`` close a range, ``pattern`` is a regular
     expression for text that follows a rule; with none of them every value is legal. ``horizon``
-    marks a date range that ends at the load date plus that many months.
+    marks a date range that ends at the load date plus that many months. ``coded`` fields are held to a
+    table of codes (``operators.codes``).
     """
 
     name: str
@@ -39,6 +40,7 @@ class FieldSpec:
     width: int | None = None
     comment: str = ""
     position: int | None = None
+    coded: bool = False
 
     @property
     def data_type(self) -> T.DataType:
@@ -46,7 +48,7 @@ class FieldSpec:
 
     @property
     def has_rule(self) -> bool:
-        return self.levels is not None or self.pattern is not None or self.low is not None
+        return self.coded or self.levels is not None or self.pattern is not None or self.low is not None
 
     @property
     def metadata(self) -> dict[str, Any]:
@@ -64,6 +66,11 @@ class FieldSpec:
         return replace(self, levels=tuple(levels), pattern=None)
 
 
+def quoted_name(name: str) -> str:
+    """A column's name for use in SQL."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def check_specs(specs: Iterable[FieldSpec]) -> list[FieldSpec]:
     """Raise ``ValueError`` unless names are unique and sentinels and defaults fit their type."""
     specs = list(specs)

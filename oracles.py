@@ -116,6 +116,19 @@ aged as (select *, case when year(fpDt) > 1990
  as ageFpDt from monthly)"""
 TOKENS = f"""{MONTHLY}, tokens as (select file, lnId, payHist, unnest(string_split(qa, ':')) as field
  from monthly)"""
+
+
+def _listed(field) -> str:
+    always = f" or {field} in ({', '.join(map(quoted, [*MSA_RECODE, '00000']))})" if field == "msa" else ""
+    return f"(({field}) in (select trim(code) from codes where field = '{field}'){always})"
+
+
+# The same with areas and postal prefixes held to the table of codes.
+CODED = f"codes as ({fixtures.CODES_SQL}), {MONTHLY}"
+for _name in ("msa", "zip3"):
+    _rule = legal(FIELDS[_name], f"({_name})")
+    assert CODED.count(_rule) == 1, _name
+    CODED = CODED.replace(_rule, _listed(_name))
 MAP = f"id_map as ({fixtures.ID_MAP_SQL})"
 
 
@@ -345,6 +358,22 @@ SQL: dict[str, str] = {
  from monthly group by file, lnId)
 select l.*, coalesce(a.harpLnId, '') as harpLnId, coalesce(b.oldLnId, '') as preHarpId from loans l
  left join id_map a on a.oldLnId = l.lnId left join id_map b on b.harpLnId = l.lnId""",
+    "repeat_run": f"""with {MONTHLY}, {MAP}, loans as (select file, lnId,
+ {STATICS["fico"]} as fico, {STATICS["vintage"]} as vintage, cast(count(*) as int) as n
+ from monthly group by file, lnId)
+select l.*, coalesce(a.harpLnId, '') as harpLnId, coalesce(b.oldLnId, '') as preHarpId from loans l
+ left join id_map a on a.oldLnId = l.lnId left join id_map b on b.harpLnId = l.lnId""",
+    "scan_misfits": on_panel(
+        """, kinds as (select *, cast(zip3 as int) % 17 as kind,
+ cast(case when standard = 'Y' then 108 else 112 end as int) as layout from panel)
+select file, case kind when 3 then 'short' when 5 then 'long' when 7 then 'open quote' else 'fits' end as reason,
+ case kind when 3 then 20 when 5 then layout + 2 else layout end as n_columns, layout, lnId,
+ case when kind in (3, 5, 7) then '' else payHist end as payHist,
+ case when kind in (3, 5, 7) then '' else seller end as seller from kinds"""
+    ),
+    "valid_codes": f"with {CODED} select {ID}, msa, zip3, qa from monthly",
+    "qa_profile_codes": f"""with {CODED}, tokens as (select file, lnId, unnest(string_split(qa, ':')) as field from monthly)
+select file, lnId, field, cast(count(*) as int) as cntFail from tokens where field <> '' group by file, lnId, field""",
     "write_id_map": fixtures.ID_MAP_SQL,
     "query_source": on_monthly(
         "select file, channel, count(*) as n_rows, count(distinct lnId) as n_loans, "

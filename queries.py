@@ -18,9 +18,10 @@ from loantape.operators import derive, links, quality, skew
 from loantape.operators import timeline as tl
 from loantape.operators import validate as V
 from loantape.plans import loans as L
+from loantape.plans.build import build_loans
 from loantape.plans.monthly import STANDARD_VALUES, describe_fields, monthly_table
 from loantape.session import configure
-from loantape.sinks import tables
+from loantape.sinks import runs, tables
 from loantape.sources import tape
 from loantape.spec import FieldSpec, schema_of
 
@@ -61,8 +62,9 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{skew.shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def write_tape(spark: SparkSession, sf: str) -> str:
-    """The panel as tape files: one folder per source file, 112 columns for the non-standard one."""
+def write_tape(spark: SparkSession, sf: str, by_loan: bool = False) -> str:
+    """The panel as tape files: one folder per source file, 112 columns for the non-standard one.
+    ``by_loan`` keeps a loan's months in one file."""
     base = new_folder(spark, "tape")
     panel = fixtures.raw_panel(spark, sf)
     for part in TAPE_PARTS:
@@ -73,6 +75,7 @@ def write_tape(spark: SparkSession, sf: str) -> str:
             for c in catalogue.column_names(width)
         ]
         rows = panel.where(F.col("file") == part).select(*columns)
+        rows = rows.repartition("lnId") if by_loan else rows
         rows.write.option("sep", "|").option("emptyValue", "").csv(f"{base}/{part}")
     return base
 
@@ -126,6 +129,30 @@ def scan_loans(spark, sf):
     return rows.select("file", "standard", *filled)
 
 
+@query
+def scan_misfits(spark, sf):
+    """Tapes with short and long rows and quotes left open: what fits, and the others by reason."""
+    configure(spark)
+    base, panel = new_folder(spark, "misfits"), fixtures.raw_panel(spark, sf)
+    kind = F.col("zip3").cast("int") % 17
+    for part in TAPE_PARTS:
+        width = catalogue.EXTENDED_WIDTH if part == "exclusions.csv" else catalogue.STANDARD_WIDTH
+        given = [F.col(c) if c in panel.columns else F.lit("") for c in catalogue.column_names(width)]
+        seller = catalogue.column_names(width).index("seller")
+        opened = [F.concat(F.lit('"'), c) if i == seller else c for i, c in enumerate(given)]
+        line = F.when(kind == 3, F.concat_ws("|", *given[:20])).when(kind == 5, F.concat_ws("|", *given, F.lit("x"), F.lit("y")))
+        line = line.when(kind == 7, F.concat_ws("|", *opened)).otherwise(F.concat_ws("|", *given))
+        rows = panel.where(F.col("file") == part).select(line.alias("value"), kind.isin(3, 5, 7).alias("odd"))
+        # The first line of a file tells its layout, so it has to be a good one.
+        rows.repartition(2).sortWithinPartitions("odd").select("value").write.text(f"{base}/{part}")
+    fit, misfits = tape.split_misfits(tape.scan_loans(spark, f"{base}/*", line="__line"), "__line")
+    layout = F.when(F.col("standard") == "Y", catalogue.STANDARD_WIDTH).otherwise(catalogue.EXTENDED_WIDTH)
+    ours = [folder(F.col("file")).alias("file")]
+    return fit.select(*ours, F.lit("fits").alias("reason"), layout.alias("n_columns"), layout.alias("layout"), "lnId", "payHist", "seller").unionByName(
+        misfits.select(*ours, "reason", "n_columns", "layout", F.split("line", r"\|")[1].alias("lnId"), F.lit("").alias("payHist"), F.lit("").alias("seller"))
+    ).withColumn("seller", F.coalesce("seller", F.lit("")))
+
+
 @query
 def discover_files(spark, sf):
     configure(spark)
@@ -164,7 +191,7 @@ def write_monthly(spark, sf):
 def _store_loans(spark, loans_list):
     table, path = f"loans_{uuid.uuid4().hex}", new_folder(spark, "loans")
     for i, loans in enumerate(loans_list):
-        tables.write_loans(loans, table, create=i == 0, path=path)
+        runs.write_loans(loans, table, create=i == 0, path=path)
     return table
 
 
@@ -214,6 +241,25 @@ def append_runs(spark, sf):
     return one.unionByName(stored.select(F.lit("two runs").alias("how"), *columns))
 
 
+@query
+def repeat_run(spark, sf):
+    """All tapes loaded, then those of one folder a second time, after a run that died between its
+    tables: as if each had been loaded once."""
+    configure(spark)
+    base, path = write_tape(spark, sf, by_loan=True), new_folder(spark, "repeated")
+    maps = new_folder(spark, "map")
+    tables.write_id_map(fixtures.id_map(spark, sf), maps)
+    options = {"id_map_path": maps, "path": path, "as_of": AS_OF, "tie": ["payHist"]}
+    table = f"loans_{uuid.uuid4().hex}"
+    stored = build_loans(spark, f"{base}/*", table, **options)
+    half = runs.new_run(spark, path)
+    runs.write_table(stored.where(F.contains("file", F.lit("HARP"))), path, half, "loans", ["lnId"])
+    build_loans(spark, f"{base}/{TAPE_PARTS[2]}", table, create=False, **options)
+    return spark.table(table).select(
+        folder(F.col("file")).alias("file"), "lnId", "fico", "vintage", "harpLnId", "preHarpId", F.size("monthly").alias("n")
+    )
+
+
 # ---- projection, filter, schema --------------------------------------------------------------
 
 
@@ -318,6 +364,20 @@ def valid_levels(spark, sf):
     return _flags(raw(spark, sf), **tests)
 
 
+@query
+def valid_codes(spark, sf):
+    """Areas and postal prefixes held to a table of codes instead of their form."""
+    rows = monthly_table(raw(spark, sf), AS_OF, codes=fixtures.codes(spark, sf))
+    return rows.select(*ID, "msa", "zip3", "qa")
+
+
+@query
+def qa_profile_codes(spark, sf):
+    """Months that failed per field and loan, with areas and postal prefixes held to the table."""
+    rows = monthly_table(raw(spark, sf), AS_OF, codes=fixtures.codes(spark, sf))
+    return quality.qa_profile(rows, KEYS).select(*KEYS, F.inline("qa"))
+
+
 @query
 def valid_range(spark, sf):
     specs = catalogue.fields(["ltv", "dti", "fico", "opb", "fclProNet", "numBorr", "frgvUpb"])

@@ -7,10 +7,13 @@ import pytest
 import tapes
 from pyspark.sql import functions as F
 
+from loantape.catalogue import fields
 from loantape.plans.build import build_loans
-from loantape.plans.loans import loan_schema
+from loantape.operators import ranges
+from loantape.plans.loans import loan_rollup, loan_schema
 from loantape.plans.monthly import monthly_table
-from loantape.sinks.tables import describe_table, write_loans
+from loantape.sinks import runs
+from loantape.sinks.tables import describe_table
 from loantape.sources import tape
 
 AS_OF = date(2024, 1, 1)
@@ -101,19 +104,50 @@ def test_retired_area_code_is_replaced_and_passes(spark, tmp_path):
 
 
 def test_explicit_area_codes(spark, tmp_path):
-    from loantape.catalogue import fields
-
-    codes = tapes.write(tmp_path / "codes", "msa.txt", ["31080", "", "10180"])
-    specs = fields(msa_codes=tape.read_levels(spark, codes))
+    path = tapes.write(tmp_path / "codes", "msa.txt", ["31080", "", " 10180 ", "31080\r"])
+    codes = tape.read_codes(spark, path, "msa")
+    assert sorted(map(tuple, codes.collect())) == [("msa", "10180"), ("msa", "31080")]
     path = tapes.write(
         tmp_path / "in", "a.csv", [tapes.line(msa=m) for m in ("10180", "12345", "31100", "")]
     )
-    rows = monthly_table(tape.scan_loans(spark, path, specs), AS_OF, specs).collect()
-    assert sorted((r.msa, r.qa) for r in rows) == [
+    rows = monthly_table(tape.scan_loans(spark, path), AS_OF, codes=codes).collect()
+    listed = fields(msa_codes=["31080", "10180"])
+    again = monthly_table(tape.scan_loans(spark, path, listed), AS_OF, listed).collect()
+    assert sorted((r.msa, r.qa) for r in rows) == sorted((r.msa, r.qa) for r in again) == [
         ("00000", ""), ("10180", ""), ("31080", ""), ("XXXXX", ":msa:"),
     ]
 
 
+def misfits(spark, tmp_path, lines, name="a.csv"):
+    path = tapes.write(tmp_path, name, lines)
+    return tape.split_misfits(tape.scan_loans(spark, path, line="__line"), "__line")
+
+
+def test_rows_that_do_not_fit(spark, tmp_path):
+    short, long, quote = "|".join(tapes.line().split("|")[:20]), tapes.line() + "||", tapes.line(seller='"Bank')
+    good = [tapes.line(lnId="1"), tapes.line(lnId="2", seller='"Bank | ""B"""'), tapes.line(lnId="3", seller='5" pipe')]
+    fit, odd = misfits(spark, tmp_path, [good[0], short, *good[1:], long, quote, "", "x"])
+    assert [r.lnId for r in fit.collect()] == ["1", "2", "3"]
+    assert "__line" not in fit.columns
+    got = {r.line: (r.file, r.reason, r.n_columns, r.layout) for r in odd.collect()}
+    at = str(tmp_path / "a.csv")
+    assert {k: v for k, v in got.items() if k != quote} == {
+        short: (at, "short", 20, 108), long: (at, "long", 110, 108), "x": (at, "short", 1, 108),
+    }
+    assert got[quote][1] == "open quote"
+
+
+def test_files_that_all_fit_have_no_misfits(spark, tmp_path):
+    tapes.write(tmp_path, "a.csv", [tapes.line()] * 3)
+    tapes.write(tmp_path, "b.csv", [tapes.line(112)] * 2 + [tapes.line()])
+    rows = tape.scan_directory(spark, str(tmp_path), line="__line")
+    fit, odd = tape.split_misfits(rows, "__line")
+    assert fit.count() == 5
+    assert [(r.file[-5:], r.reason, r.n_columns, r.layout) for r in odd.collect()] == [("b.csv", "short", 108, 112)]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "unused" not in plan.split("ReadSchema:")[-1]
+
+
 def test_derived_fields_can_stay_out_of_qa(spark, tmp_path):
     path = tapes.write(tmp_path, "a.csv", [tapes.line(dqStat="XX", ltv="")])
     raw = tape.scan_loans(spark, path)
@@ -201,25 +235,148 @@ def test_two_runs_into_one_table(spark, tmp_path):
     names = [f.name for f in loan_schema().fields]
     assert loans.columns == names
     assert spark.table("two_runs_months").count() == 0
-    with pytest.raises(ValueError, match="already holds"):
-        build_loans(spark, str(ns), create=False, **options)
-    assert spark.table("two_runs").count() == 3
-    # Staged rows are gone, after the run that failed too.
+    # Staged rows are gone.
     shared = Path(spark.conf.get("spark.checkpoint.dir"))
     assert not list(shared.glob("monthly-*"))
-    spark.sql("DROP TABLE two_runs")
-    spark.sql("DROP TABLE two_runs_months")
+    drop_views(spark, "two_runs")
+
+
+def drop_views(spark, table):
+    for view in (table, f"{table}_months", f"{table}_misfits"):
+        spark.sql(f"DROP VIEW IF EXISTS {view}")
+
+
+def contents(spark, table):
+    kept = [sorted(spark.table(t).select(F.to_json(F.struct("*")).alias("j")).collect()) for t in (table, f"{table}_months", f"{table}_misfits")]
+    return [[r.j for r in rows] for rows in kept]
+
+
+def tape_folders(tmp_path):
+    std, ns = tmp_path / "std", tmp_path / "ns"
+    months = ["012010", "022010", "032010"]
+    tapes.write(std, "2010Q1.csv", [tapes.line(lnId=str(i), month=m) for i in range(40) for m in months] + ["short|row"])
+    tapes.write(std, "2010Q2.csv", [tapes.line(lnId=str(i), month=m) for i in range(40, 50) for m in months])
+    tapes.write(std, "Loan_Mapping.txt", ["3,45"])
+    tapes.write(ns, "excl.csv", [tapes.line(112, lnId="3", month=m, nsDoc="Y") for m in months] + [tapes.line(112, lnId="3")] * 9)
+    return str(std), str(ns)
+
+
+def run_options(tmp_path, name, **more):
+    return {"table": name, "id_map_path": str(tmp_path / f"map_{name}"), "as_of": AS_OF, "path": str(tmp_path / name), "piece": 6, **more}
+
+
+def test_run_that_dies_between_its_tables_and_is_repeated(spark, tmp_path, monkeypatch):
+    std, ns = tape_folders(tmp_path)
+    clean, again = run_options(tmp_path, "clean"), run_options(tmp_path, "again")
+    for options in (clean, again):
+        build_loans(spark, std, **options)
+    first = contents(spark, "again")
+    assert [len(rows) for rows in first] == [50, 0, 1]
+    write = runs.write_table
+
+    def dies(df, path, run, name, *args, **how):
+        if name == "months":
+            raise KeyboardInterrupt
+        write(df, path, run, name, *args, **how)
+
+    monkeypatch.setattr(runs, "write_table", dies)
+    with pytest.raises(KeyboardInterrupt):
+        build_loans(spark, ns, create=False, **again)
+    # As after a kill, nothing tidies up.
+    monkeypatch.setattr(runs, "abandon", lambda *args: None)
+    with pytest.raises(KeyboardInterrupt):
+        build_loans(spark, ns, create=False, **again)
+    monkeypatch.undo()
+    assert contents(spark, "again") == first
+    assert not list(Path(spark.conf.get("spark.checkpoint.dir")).glob("monthly-*"))
+    # Each file once, however often it is loaded.
+    build_loans(spark, ns, create=False, **clean)
+    for _ in range(2):
+        build_loans(spark, ns, create=False, **again)
+    build_loans(spark, std, create=False, **again)
+    assert contents(spark, "again") == contents(spark, "clean")
+    assert [len(rows) for rows in contents(spark, "again")] == [51, 1, 1]
+    path = str(tmp_path / "again")
+    assert len(runs.vacuum(spark, path, 0.0)) == 3 and runs.vacuum(spark, path, 0.0) == []
+    assert contents(spark, "again") == contents(spark, "clean")
+    build_loans(spark, ns, **again)
+    assert {r.file for r in spark.table("again").select("file").collect()} == {f"{ns}/excl.csv"}
+    for name in ("clean", "again"):
+        drop_views(spark, name)
+
+
+def test_two_runs_that_commit_at_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    rows = {f: spark.createDataFrame([(f, "1", n)], "file string, lnId string, n int") for n, f in enumerate("abc")}
+    for f in "ab":
+        runs.write_table(rows[f], path, f"run-{f}", "loans", ["lnId"])
+    schema = {"loans": rows["a"].schema}
+    current, calls = runs.current, []
+
+    def slow(*args):
+        found = current(*args)
+        if not calls:
+            calls.append(1)
+            runs.commit(spark, path, "run-b", ["b"], schema)
+        return found
+
+    monkeypatch.setattr(runs, "current", slow)
+    runs.commit(spark, path, "run-a", ["a"], schema)
+    monkeypatch.undo()
+    assert runs.current(spark, path).version == 2
+    assert sorted((r.file, r.n) for r in runs.read_table(spark, path, "loans").collect()) == [("a", 0), ("b", 1)]
+    with pytest.raises(ValueError, match="columns"):
+        runs.commit(spark, path, "run-c", ["c"], {"loans": rows["c"].drop("n").schema})
+    # A file of which nothing is left, and only its own partitions are read.
+    runs.commit(spark, path, "run-d", ["a"], schema)
+    with pytest.raises(FileNotFoundError):
+        runs.read_table(spark, path, "other")
+    plan = runs.read_table(spark, path, "loans", runs.Manifest(1, {"b": "run-b"}, runs.current(spark, path).schemas))
+    assert "PartitionFilters: [isnotnull(file" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ranges_from_the_keys(spark, tmp_path):
+    keys = spark.range(6000).select(
+        F.when(F.col("id") % 50 == 0, None).otherwise(F.concat(F.lit("f"), (F.col("id") % 3).cast("string"))).alias("file"),
+        F.when(F.col("id") % 7 == 0, None).when(F.col("id") % 2 == 0, "same").otherwise(F.hash("id").cast("string")).alias("lnId"),
+    )
+    some = keys.where("file is null or file != 'f1'")
+    bounds = [b for b in ranges.key_bounds(some, 1)]
+    assert bounds == []
+    for n in (2, 5, 40):
+        import loantape.operators.ranges as R
+
+        few, R.LEAST_ROWS = R.LEAST_ROWS, 6000 // n
+        try:
+            bounds = R.key_bounds(some, n)
+        finally:
+            R.LEAST_ROWS = few
+        assert 0 < len(bounds) < n + 1
+        placed = ranges.by_ranges(keys, ["file", "lnId"], bounds).withColumn("p", F.spark_partition_id()).collect()
+        order = lambda k: tuple((x is not None, x or "") for x in k)
+        assert len(placed) == 6000
+        for r in placed:
+            assert r.p == sum(order(b) < order((r.file, r.lnId)) for b in bounds)
+    assert ranges.by_ranges(keys, ["file", "lnId"], []).rdd.getNumPartitions() == 1
+
+
+def test_finished_rollup_runs_once(spark, tmp_path):
+    std, _ = tape_folders(tmp_path)
+    m = monthly_table(tape.scan_directory(spark, std), AS_OF)
+    rows = ranges.by_ranges(loan_rollup(m), ["file", "lnId"], [("a", "1"), ("b", None)])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and plan.count("Exchange hashpartitioning") == 1
 
 
 def test_written_files_hold_ranges_of_the_key(spark, tmp_path):
-    rows = spark.range(4000).select(F.lpad(F.hash("id").cast("string"), 12, "0").alias("lnId"), "id")
+    rows = spark.range(4000).select(F.lit("a").alias("file"), F.lpad(F.hash("id").cast("string"), 12, "0").alias("lnId"), "id")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    write_loans(rows.repartition(5), "ranged", path=str(tmp_path / "ranged"))
+    runs.write_loans(rows.repartition(5), "ranged", path=str(tmp_path / "ranged"))
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    stored = spark.table("ranged").groupBy(F.input_file_name().alias("f"))
+    stored = runs.read_table(spark, str(tmp_path / "ranged"), "loans").groupBy(F.input_file_name().alias("f"))
     ends = sorted(tuple(r) for r in stored.agg(F.min("lnId"), F.max("lnId")).drop("f").collect())
     assert len(ends) > 1 and all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
-    spark.sql("DROP TABLE ranged")
+    spark.sql("DROP VIEW ranged")
 
 
 def test_numbers_look_like_numbers(spark):

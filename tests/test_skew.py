@@ -139,6 +139,34 @@ def test_rollup_is_the_same_cut_or_whole(spark):
     assert sum(len(m) for _, m in whole.values()) == 240 and names["fico"] == 40
 
 
+def test_one_count_and_one_ranking_for_both_tables(spark, monkeypatch):
+    lnid = F.when(F.col("lnId") == "100000000003", F.lit(None)).otherwise(F.col("lnId"))
+    rows = monthly_rows(spark).withColumn("lnId", lnid)
+    calls = []
+    for name in ("hot_groups", "rank_pieces"):
+        plain = getattr(skew, name)
+        monkeypatch.setattr(skew, name, lambda *a, f=plain, n=name, **k: calls.append(n) or f(*a, **k))
+    kind = type(rows)
+    plain_range = kind.repartitionByRange
+    monkeypatch.setattr(kind, "repartitionByRange", lambda self, *a: calls.append("range") or plain_range(self, *a))
+    loans, rest = L.loan_tables(rows, piece=7)
+    got = joined_pieces(loans, rest)
+    assert calls == ["hot_groups", "rank_pieces", "range"]
+    monkeypatch.undo()
+    assert got == joined_pieces(L.loan_rollup(rows, piece=7), L.loan_timelines(rows, piece=7, first=1))
+    none = L.loan_tables(rows, piece=None)[1]
+    assert rest.schema.simpleString() == none.schema.simpleString() and none.count() == 0
+
+
+def test_packed_order_is_the_order_of_date_and_hash(spark):
+    dates = F.date_add(F.lit("1970-01-01").cast("date"), (F.pmod(F.xxhash64("id"), F.lit(65536))).cast("int"))
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 3 > 0, F.lit("2003-02-01").cast("date")).otherwise(dates).alias("month"))
+    rows = rows.withColumn("h", F.xxhash64("id", "month"))
+    held = rows.select("id", tl.packed_order(F.col("month"), F.col("h")).alias("p"), "month", "h").collect()
+    assert [r.id for r in sorted(held, key=lambda r: r.p)] == [r.id for r in sorted(held, key=lambda r: (r.month, r.h))]
+    assert len({r.p for r in held}) == 3000 and min(r.p for r in held) >= 0
+
+
 def test_result_does_not_depend_on_partitioning(spark):
     rows = monthly_rows(spark)
     seen = []
