@@ -13,7 +13,7 @@ from loantape.functions.bits import bucket
 from loantape.functions.scalars import age_fp, harp_flag, month_end
 from loantape.operators import aggregate as A
 from loantape.operators import quality, skew
-from loantape.operators.links import link_predecessor, link_successor
+from loantape.operators.links import link_both
 from loantape.operators.timeline import PIECE, gathered, nest, order_key, packed_order, row_hash, timeline
 
 KEYS = ["file", "lnId"]
@@ -139,7 +139,7 @@ def loan_tables(
     if id_map is None:
         loans = loans.withColumns({"harpLnId": F.lit(""), "preHarpId": F.lit("")})
     else:
-        loans = link_predecessor(link_successor(loans, id_map), id_map)
+        loans = link_both(loans, id_map)
     return loans.select(*loan_schema().names).to(loan_schema()), rest
 
 

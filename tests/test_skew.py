@@ -57,6 +57,33 @@ def test_links_spread_over_salts(spark, limit):
     assert Counter(tuple(r) for r in out) == want
 
 
+@pytest.mark.parametrize("bounds", [{}, {"max_rows": 3}, {"max_matches": 4}])
+def test_both_ways_at_once(spark, bounds):
+    pairs = [(f"{i % 13}", f"{i % 7}") for i in range(40)] + [(None, "1"), ("2", None), ("3", ""), ("", "4"), ("5", "5")]
+    id_map = spark.createDataFrame(pairs, "oldLnId string, harpLnId string").repartition(3)
+    loans = spark.createDataFrame([(f"{i}", i) for i in range(16)] + [(None, 99), ("", 98), ("3", 97)], "lnId string, n int")
+    got = links.link_both(loans, id_map, **bounds)
+    assert got.columns == ["lnId", "n", "harpLnId", "preHarpId"]
+    want = links.link_predecessor(links.link_successor(loans, id_map), id_map)
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+    none = links.link_both(loans, id_map.limit(0)).collect()
+    assert len(none) == 19 and {(r.harpLnId, r.preHarpId) for r in none} == {("", "")}
+
+
+def test_large_map_shuffles_loans_once(spark):
+    id_map = spark.range(5000).select(F.col("id").cast("string").alias("oldLnId"), (F.col("id") + 1).cast("string").alias("harpLnId"))
+    loans = spark.range(9000).select(F.col("id").cast("string").alias("lnId"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        one = links.link_both(loans, id_map, max_rows=100)
+        plan = one._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The loans' exchange and the index's.
+    assert plan.count("SortMergeJoin") == 1 and plan.count("Exchange hashpartitioning") == 2
+    assert one.where("harpLnId != ''").count() == 5000
+
+
 def test_empty_map(spark):
     df = spark.createDataFrame([("a",)], "id string")
     m = spark.createDataFrame([], "old string, new string")
