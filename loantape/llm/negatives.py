@@ -26,9 +26,11 @@ from pyspark.sql.window import Window
 from loantape.llm.store import prepare, stored
 
 # Bytes of a block's columns, and anchors that look through it together.
-BLOCK_BYTES = 256 << 10
+BLOCK_BYTES = 1 << 20
 ANCHOR_ROWS = 64
-# Columns read between two looks at the bounds.
+# Share of the columns read before the first look at the bounds, which can rule out little so far, and
+# columns read between later ones.
+FIRST = 5 / 8
 STEP = 8
 # There are as many parts as the square root of so many rows each.
 PART_ROWS = 256
@@ -69,8 +71,10 @@ def _pack(scale: int, block_rows: int | None):
             matrix = np.array(rows, np.int64).reshape(len(ids), dims).T
             wide = bool(np.abs(matrix).max(initial=0) >= 1 << 31)
             names, codes = np.unique(np.array(labels, object).astype(str), return_inverse=True)
+            by_label = np.argsort(codes, kind="stable")
+            codes, ids, matrix = codes[by_label], np.array(ids, np.int64)[by_label], matrix[:, by_label]
             columns = np.ascontiguousarray(matrix, np.int64 if wide else np.int32).tobytes()
-            made = (number, dims, len(ids), np.array(ids, np.int64).tobytes(), names.tolist(), codes.astype(np.int32).tobytes(), columns, wide)
+            made = (number, dims, len(ids), ids.tobytes(), names.tolist(), codes.astype(np.int32).tobytes(), columns, wide)
             number += 1
             return pa.record_batch([pa.array([x], f.type) for x, f in zip(made, BLOCK)], schema=BLOCK)
 
@@ -93,51 +97,64 @@ def _pack(scale: int, block_rows: int | None):
 
 
 class Block:
-    """A block read again: ids, labels and one row of ``columns`` per dimension."""
+    """A block read again: ids, labels in order, and one row of ``columns`` per dimension."""
 
     def __init__(self, dims: int, n: int, ids: bytes, names: list[str], codes: bytes, columns: bytes, wide: bool) -> None:
         self.ids = np.frombuffer(ids, np.int64)
         self.names = names
         self.codes = np.frombuffer(codes, np.int32)
-        self.columns = np.frombuffer(columns, np.int64 if wide else np.int32).reshape(dims, n).astype(np.int64)
-        self.least = self.columns.min(1, initial=FAR) if n else np.zeros(dims, np.int64)
-        self.most = self.columns.max(1, initial=-FAR) if n else np.zeros(dims, np.int64)
-        self.reach = int(np.abs(self.columns).max(initial=0))
-        # Whole numbers below 2**53 are exact in doubles, whose products are much faster.
-        self.doubles = self.columns.astype(np.float64)
-
-    def labelled(self, name: str) -> np.ndarray:
-        return self.codes == (self.names.index(name) if name in self.names else -1)
-
-
-def vertical_scan(block: Block, anchor: np.ndarray, bitmap: np.ndarray, windows: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Places and exact scores of the rows in ``bitmap`` whose score lies in one of the windows."""
-    dims = len(anchor)
-    exact = dims * int(np.abs(anchor).max(initial=0)) * block.reach < 1 << 53
-    columns, kind = (block.doubles, np.float64) if exact else (block.columns, np.int64)
+        # Rows come by label, so those of one label are a range.
+        self.starts = np.searchsorted(self.codes, np.arange(len(names) + 1))
+        self.columns = np.frombuffer(columns, np.int64 if wide else np.int32).reshape(dims, n)
+        self.least = self.columns.min(1, initial=FAR if wide else (1 << 31) - 1).astype(np.int64)
+        self.most = self.columns.max(1, initial=-FAR if wide else -(1 << 31)).astype(np.int64)
+        self.reach = max(int(np.abs(self.least).max(initial=0)), int(np.abs(self.most).max(initial=0)))
+        self._as: dict[type, np.ndarray] = {}
+
+    def exact(self, anchor: np.ndarray) -> np.ndarray:
+        """The columns in the smallest type that holds all partial scores exactly: whole numbers are
+        exact in floating point below 2**24 and 2**53, and their products are much faster."""
+        bound = len(anchor) * int(np.abs(anchor).max(initial=0)) * self.reach
+        kind = np.float32 if bound < 1 << 24 else np.float64 if bound < 1 << 53 else np.int64
+        if kind not in self._as:
+            self._as[kind] = self.columns.astype(kind)
+        return self._as[kind]
+
+    def labelled(self, name: str) -> slice:
+        if name not in self.names:
+            return slice(0, 0)
+        code = self.names.index(name)
+        return slice(int(self.starts[code]), int(self.starts[code + 1]))
+
+
+def vertical_scan(block: Block, anchor: np.ndarray, bitmap: np.ndarray, windows: list[tuple[int, int]], span: slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
+    """Places and exact scores of the rows of ``span`` that are set in ``bitmap`` and whose score lies
+    between the lowest and the highest of the windows' ends."""
+    dims, first = len(anchor), span.start or 0
+    columns = block.exact(anchor)[:, span]
     order = np.argsort(-np.abs(anchor), kind="stable")
-    a = anchor[order].astype(kind)
+    a = anchor[order].astype(columns.dtype)
     one, two = anchor * block.least, anchor * block.most
     # What the columns from each place on can add at most and at least.
-    above = np.r_[np.cumsum(np.maximum(one, two)[order][::-1])[::-1], 0]
-    below = np.r_[np.cumsum(np.minimum(one, two)[order][::-1])[::-1], 0]
-    at = np.flatnonzero(bitmap)
-    scores = np.zeros(len(at), kind)
-    for low in range(0, max(1, dims), STEP):
-        part = order[low : low + STEP]
-        if len(at) == len(bitmap):
-            scores = scores + a[low : low + STEP] @ columns[part]
-        else:
-            scores = scores + a[low : low + STEP] @ columns[np.ix_(part, at)]
-        up, down = int(above[min(low + STEP, dims)]), int(below[min(low + STEP, dims)])
-        left = np.zeros(len(at), bool)
-        for lowest, highest in windows:
-            left |= (scores >= lowest - up) & (scores <= highest - down)
-        if not left.all():
-            at, scores = at[left], scores[left]
-        if not len(at):
-            break
-    return at, scores.astype(np.int64)
+    above = [*np.cumsum(np.maximum(one, two)[order][::-1])[::-1].tolist(), 0]
+    below = [*np.cumsum(np.minimum(one, two)[order][::-1])[::-1].tolist(), 0]
+    lowest, highest = min(w[0] for w in windows), max(w[1] for w in windows)
+    read = min(dims, max(STEP, int(FIRST * dims)))
+    scores = a[:read] @ columns[order[:read]]
+    at, rest = None, None
+    while True:
+        left = (scores >= lowest - above[read]) & (scores <= highest - below[read])
+        if at is None:
+            at = np.flatnonzero(left & bitmap[span])
+            scores = scores[at]
+            # What is left of the columns, in the order they are read.
+            rest, begun = np.take(columns[order[read:]], at, axis=1), read
+        elif not left.all():
+            at, scores, rest = at[left], scores[left], rest[:, left]
+        if read == dims or not len(at):
+            return at + first, scores.astype(np.int64)
+        scores = scores + a[read : read + STEP] @ rest[read - begun : read - begun + STEP]
+        read = min(read + STEP, dims)
 
 
 class Best:
@@ -199,15 +216,16 @@ def _look(most: int, low: int | None, high: int | None):
                 for j, scores in wanted:
                     same = rows.labelled(anchors.names[anchors.codes[j]])
                     if low is None:
-                        windows = [(best.bar((name, j, 0)), FAR)]
-                        bitmap = same & (rows.ids != anchors.ids[j])
+                        windows, span = [(best.bar((name, j, 0)), FAR)], same
+                        bitmap = rows.ids != anchors.ids[j]
                     else:
-                        windows = [(max(-(-low * s // 100), best.bar((name, j, s))), high * s // 100) for s in scores]
-                        bitmap = ~same
-                    if not bitmap.any():
+                        windows, span = [(max(-(-low * s // 100), best.bar((name, j, s))), high * s // 100) for s in scores], slice(None)
+                        bitmap = np.ones(len(rows.ids), bool)
+                        bitmap[same] = False
+                    if not bitmap[span].any():
                         continue
-                    at, found = vertical_scan(rows, anchors.columns[:, j], bitmap, windows)
-                    for s, (lowest, highest) in zip(scores, windows):
+                    at, found = vertical_scan(rows, anchors.columns[:, j].astype(np.int64), bitmap, windows, span)
+                    for s, (lowest, highest) in zip(scores, windows) if len(at) else ():
                         inside = (found >= lowest) & (found <= highest)
                         best.add((name, j, s), found[inside], rows.ids[at[inside]])
             if len(best) > KEPT_ROWS:

@@ -100,14 +100,19 @@ def test_scan_is_exact_and_prunes():
         bar = sorted(want)[-5]
         at, scores = negatives.vertical_scan(block, anchor, np.ones(500, bool), [(int(bar), negatives.FAR)])
         assert sorted(at) == [i for i in range(500) if want[i] >= bar]
+        some, within = negatives.vertical_scan(block, anchor, np.arange(500) % 2 == 0, [(int(bar), negatives.FAR)], slice(100, 400))
+        assert sorted(some) == [i for i in range(100, 400, 2) if want[i] >= bar] and [int(s) for s in within] == [want[i] for i in some]
         assert [int(s) for s in scores] == [want[i] for i in at]
+        # A magnitude that falls off lets bounds rule out most rows before the last columns.
+        steep = (anchor * 0.8 ** np.arange(32)).astype(np.int64)
+        scores = np.array([sum(int(a) * int(x) for a, x in zip(steep, wide[:, i])) for i in range(500)], dtype=object)
         reads = []
-        plain_ix = np.ix_
-        np.ix_ = lambda a, b: reads.append(len(b)) or plain_ix(a, b)
+        plain_take = np.take
+        np.take = lambda a, b, axis: reads.append(len(b)) or plain_take(a, b, axis=axis)
         try:
-            negatives.vertical_scan(block, anchor, np.ones(500, bool), [(int(bar), negatives.FAR)])
+            negatives.vertical_scan(block, steep, np.ones(500, bool), [(int(sorted(scores)[-5]), negatives.FAR)])
         finally:
-            np.ix_ = plain_ix
+            np.take = plain_take
         assert shift or reads[-1] < 250
 
 
