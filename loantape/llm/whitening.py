@@ -19,6 +19,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,21 +145,43 @@ class Model:
         """Rows less the mean; the whole part leaves without rounding."""
         return (rows - self.centre).astype(np.float64) - np.array([r / self.n for r in self.rest])
 
-    def deviations(self, rows: np.ndarray) -> list[int | None]:
+    def deviations(self, rows: np.ndarray) -> pa.Array:
         """Exact sums of (n * x - S) ** 2; null beyond 63 bits."""
         z = rows - self.centre
         top, rest = int(np.abs(z).max(initial=0)), max(map(abs, self.rest), default=0)
         kind = np.int64 if len(self.rest) * (self.n * top + rest) ** 2 < 1 << 63 else object
         by_n = z.astype(kind) * self.n - np.array(self.rest, kind)
-        return [int(x) if int(x) < 1 << 63 else None for x in (by_n * by_n).sum(1)]
+        sums = (by_n * by_n).sum(1)
+        return pa.array(sums if kind is np.int64 else [int(x) if x < 1 << 63 else None for x in sums], pa.int64())
 
 
-def on_grid(vector: list | None, scale: int, offset: int) -> list[int] | None:
-    """Whole numbers per component; ``None`` for a row to drop."""
-    if vector is None or any(x is None or not math.isfinite(x) for x in vector):
-        return None
-    made = [math.floor(scale * x) + offset if abs(x) < 1e300 else 1 << 63 for x in map(float, vector)]
-    return made if all(-(1 << 62) <= x < 1 << 62 for x in made) else None
+def by_length(column: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The vectors of each length, as places and a matrix; null components are NaN."""
+    lengths = np.asarray(column.value_lengths())
+    values = column.flatten()
+    if values.null_count:
+        values = pc.fill_null(values.cast(pa.float64()), math.nan)
+    values = values.to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lengths)
+    for dims in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == dims)
+        if len(at) == len(lengths):
+            yield at, values.reshape(len(at), dims)
+        else:
+            yield at, values[(ends[at] - dims)[:, None] + np.arange(dims)]
+
+
+def on_grid(rows: np.ndarray, scale: int, offset: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows can be kept, and the whole numbers of those."""
+    with np.errstate(invalid="ignore", over="ignore"):
+        made = np.floor(scale * rows.astype(np.float64))
+        kept = (np.abs(made) < float(1 << 61)).all(1)
+    return kept, made[kept].astype(np.int64) + offset
+
+
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    n, dims = rows.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * dims, dims, dtype=np.int32) if dims else np.zeros(n + 1, np.int32)), pa.array(rows.ravel()))
 
 
 def _sums(centres: dict[int, np.ndarray] | None):
@@ -168,25 +191,22 @@ def _sums(centres: dict[int, np.ndarray] | None):
         task = TaskContext.get().partitionId()
         kept: dict[int, list] = {}
         for batch in batches:
-            by_dims: dict[int, list] = {}
-            for x in batch.column(0).to_pylist():
-                by_dims.setdefault(len(x), []).append(x)
-            for dims, rows in by_dims.items():
-                z = np.array(rows, np.int64).reshape(len(rows), dims)
+            for _, z in by_length(batch.column(0)):
+                rows, dims = z.shape
                 if centres is None:
-                    small = int(np.abs(z).max(initial=0)) * len(rows) < 1 << 62
+                    small = int(np.abs(z).max(initial=0)) * rows < 1 << 62
                     made = (z if small else z.astype(object)).sum(0)[None, :]
                 else:
                     z = z - centres[dims]
                     top = int(np.abs(z).max(initial=0))
-                    if top * top * len(rows) < 1 << 53:
+                    if top * top * rows < 1 << 53:
                         f = z.astype(np.float64)
                         made = (f.T @ f).astype(np.int64)
                     else:
                         z = z.astype(object)
                         made = z.T @ z
                 held = kept.setdefault(dims, [0, 0])
-                held[0] += len(rows)
+                held[0] += rows
                 held[1] = held[1] + made.astype(object)
         for dims, (n, made) in kept.items():
             for i in range(len(made)):
@@ -238,13 +258,10 @@ def _whitened_products(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, list] = {}
         for batch in batches:
-            by_dims: dict[int, list] = {}
-            for x in batch.column(0).to_pylist():
-                by_dims.setdefault(len(x), []).append(x)
-            for dims, rows in by_dims.items():
-                model = shared.value[dims]
-                y = model.centred(np.array(rows, np.int64)) @ model.weights
-                held = kept.setdefault(dims, [np.zeros(y.shape[1]), np.zeros((y.shape[1], y.shape[1]))])
+            for _, rows in by_length(batch.column(0)):
+                model = shared.value[rows.shape[1]]
+                y = model.centred(rows) @ model.weights
+                held = kept.setdefault(rows.shape[1], [np.zeros(y.shape[1]), np.zeros((y.shape[1], y.shape[1]))])
                 held[0] += y.sum(0)
                 held[1] += y.T @ y
         dims = [d for d, h in kept.items() for _ in range(len(h[0]) * (len(h[0]) + 1))]
@@ -295,9 +312,9 @@ def whiten(
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [on_grid(v, scale, offset) for v in batch.column(1).to_pylist()]
-            kept = [i for i, x in enumerate(made) if x is not None]
-            yield pa.record_batch([batch.column(0).take(pa.array(kept, pa.int64())), pa.array([made[i] for i in kept], pa.list_(pa.int64()))], ["vec_id", "x"])
+            for at, rows in by_length(batch.column(1)):
+                kept, made = on_grid(rows, scale, offset)
+                yield pa.record_batch([batch.column(0).take(pa.array(at[kept])), _lists(made)], ["vec_id", "x"])
 
     given = vectors.select(F.col(f"`{id_col}`").cast("bigint").alias("vec_id"), F.col(f"`{vector_col}`").alias("vector"))
     rows = stored(given.where("vector is not null").mapInArrow(place, "vec_id bigint, x array<bigint>"), "grid")
@@ -308,20 +325,14 @@ def whiten(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            by_dims: dict[int, list] = {}
-            ids, vectors = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i, x in enumerate(vectors):
-                by_dims.setdefault(len(x), []).append(i)
-            for dims, at in by_dims.items():
-                model = shared.value[dims]
-                x = np.array([vectors[i] for i in at], np.int64)
+            for at, x in by_length(batch.column(1)):
+                model = shared.value[x.shape[1]]
                 y, k = model.centred(x) @ model.weights, model.weights.shape[1]
                 each = np.repeat(np.arange(len(at)), k)
-                names, far = [ids[i] for i in at], model.deviations(x)
                 yield pa.record_batch(
                     [
-                        pa.array([names[j] for j in each], pa.int64()), pa.array(np.tile(np.arange(1, k + 1, dtype=np.int32), len(at))),
-                        pa.array(np.full(len(each), model.n)), pa.array([far[j] for j in each], pa.int64()),
+                        batch.column(0).take(pa.array(at[each])), pa.array(np.tile(np.arange(1, k + 1, dtype=np.int32), len(at))),
+                        pa.array(np.full(len(each), model.n)), model.deviations(x).take(pa.array(each)),
                         pa.array(y.ravel()), pa.array(np.tile(model.explained, len(at))), pa.array(np.full(len(each), error)),
                     ],
                     ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
