@@ -119,9 +119,9 @@ def mix(
     ``taken``, the words the mix takes, repeats counted, per row of ``docs``.
 
     A null text has size 0; a null source is a source of its own, the last. A document is taken
-    twice at most, in whole or in part. Rows that agree in id, source and size are interchangeable:
-    which of them gets which share is open, the shares are not. An empty table stays empty, and a
-    table without words takes none.
+    twice at most, in whole or in part. Rows that agree in id, source and text are interchangeable:
+    which of them gets which share is open, the shares are not. Rows without an id are dealt by their
+    texts. An empty table stays empty, and a table without words takes none.
     """
     rows = stored(_sized(docs, id_col, text_col, source_col), "sizes")
     placed = _placed(rows, weights, share, most, block, seed)
@@ -179,6 +179,7 @@ def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, row: Co
         F.col(f"`{id_col}`").alias("doc_id"),
         F.col(f"`{source_col}`").cast("string").alias("source"),
         F.coalesce(words, F.lit(0)).cast("bigint").alias("size"),
+        F.xxhash64(F.col(f"`{text_col}`")).alias("__print"),
         *([] if row is None else [row.alias("row")]),
     )
 
@@ -206,7 +207,8 @@ def _placed(rows: DataFrame, weights, share: float, most: int, block: int, seed:
     )
     side = small_or_none(known)
     named = rows.join(known if side is None else side, F.col("source").eqNullSafe(F.col("__name")))
-    named = named.withColumn("__cell", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("__cells")))
+    # By the text as well, so that rows without id, or of one id, are dealt to all cells.
+    named = named.withColumn("__cell", F.pmod(F.xxhash64("doc_id", "__print", F.lit(seed)), F.col("__cells")))
     sizes = named.groupBy("source_no", "__cell").agg(
         F.sum("size").alias("__cell_size"), F.first("__quota").alias("__quota")
     )
@@ -215,7 +217,7 @@ def _placed(rows: DataFrame, weights, share: float, most: int, block: int, seed:
         apportion(sizes, ["source_no"], ["__cell"], "__cell_size", "__quota"), ["source_no", "__cell"]
     ).select("source_no", "__cell", "__cell_size", F.col("quota").alias("__due"))
     order = Window.partitionBy("source_no", "__cell").orderBy(
-        F.xxhash64("doc_id", F.lit(seed + 1)), "doc_id", "size"
+        F.xxhash64("doc_id", "__print", F.lit(seed + 1)), "doc_id", "__print", "size"
     )
     end = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     placed = named.withColumn("__end", end).join(quotas, ["source_no", "__cell"])
