@@ -53,7 +53,7 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
 
     def load():
-        rows = monthly_table(tape.scan_loans(spark, f"{folder}/*"), Q.AS_OF)
+        rows = monthly_table(tape.scan_loans(spark, f"{folder}/*"), Q.AS_OF, masks=True)
         # One loan's rows lie in several part files here; real files hold whole loans.
         rows = rows.withColumn("file", Q.folder(F.col("file")))
         staged.append(write_monthly(rows, Q.new_folder(spark, "monthly")))

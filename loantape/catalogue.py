@@ -240,6 +240,8 @@ ROLLUP_FIELDS = check_specs([
 ])
 
 MONTHLY_FIELDS = check_specs([*TAPE_FIELDS, *EXTENDED_FIELDS, *DERIVED_FIELDS])
+# Fields that can fail, in the order of their bits.
+QA_ORDER = [spec.name for spec in MONTHLY_FIELDS if spec.name != "qa"]
 FIELDS = {spec.name: spec for spec in [*MONTHLY_FIELDS, *ROLLUP_FIELDS]}
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,6 +94,57 @@ def profile_of_tokens(tokens: Column) -> Column:
     )
 
 
+# Columns that hold a row's failures as bits, and bits of each that are used.
+MASKS = ("__failed0", "__failed1")
+MASK_BITS = 63
+
+
+def failure_masks(failed: Mapping[str, Column], order: Iterable[str]) -> dict[str, Column]:
+    """``MASKS`` by name: bit ``i`` of the first is field ``i`` of ``order``, of the second field
+    ``MASK_BITS + i``. ``failed`` has a condition per field; the others never fail."""
+    order = list(order)
+    if len(order) > len(MASKS) * MASK_BITS:
+        raise ValueError(f"{len(order)} fields are more than {len(MASKS)} masks hold")
+    out = {}
+    for k, name in enumerate(MASKS):
+        mask = F.lit(0).cast("bigint")
+        for i, field in enumerate(order[k * MASK_BITS : (k + 1) * MASK_BITS]):
+            if field in failed:
+                mask = mask + F.when(failed[field], F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+        out[name] = mask
+    return out
+
+
+def lanes(n_fields: int, bits: int) -> list[list[int]]:
+    """Fields counted together in one number, each in a lane of so many bits."""
+    per = 63 // bits
+    return [list(range(low, min(low + per, n_fields))) for low in range(0, n_fields, per)]
+
+
+def lane_sums(n_fields: int, bits: int) -> list[Column]:
+    """Aggregates over ``MASKS`` that count the rows in which each field failed, some fields to a
+    number: plain sums, which combine before the shuffle to a few numbers per group whatever its
+    length. A group has fewer than ``2 ** bits`` rows."""
+    out = []
+    for group in lanes(n_fields, bits):
+        added = F.lit(0).cast("bigint")
+        for lane, field in enumerate(group):
+            mask, bit = F.col(MASKS[field // MASK_BITS]), field % MASK_BITS
+            one = F.shiftright(mask, bit).bitwiseAND(F.lit(1).cast("bigint"))
+            added = added + F.shiftleft(one, lane * bits)
+        out.append(F.sum(added))
+    return out
+
+
+def counts_of_lanes(sums: list[Column], order: Iterable[str], bits: int) -> dict[str, Column]:
+    """The counts per field that ``lane_sums`` packed."""
+    order, out = list(order), {}
+    for total, group in zip(sums, lanes(len(order), bits)):
+        for lane, field in enumerate(group):
+            out[order[field]] = F.shiftright(total, lane * bits).bitwiseAND(F.lit((1 << bits) - 1).cast("bigint")).cast("int")
+    return out
+
+
 def qa_all_fail(profile: Column, n_rows: Column) -> Column:
     """Names of the fields that failed in every row of the group."""
     return F.transform(

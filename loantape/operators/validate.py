@@ -9,7 +9,7 @@ A NULL between step 2 and 3 is the whole status of a field, so no status columns
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -140,10 +140,12 @@ def fill_missing(
     qa: str | None = QA,
     unreported: Iterable[str] = (),
     recode: Mapping[str, Mapping[str, str]] | None = None,
+    masks: Callable[[Mapping[str, Column]], Mapping[str, Column]] | None = None,
 ) -> DataFrame:
     """Step 3: sentinels for failures, and the names of the failed fields as ``:a:b:``.
 
-    ``recode`` maps old to new codes per text field; it applies to values that passed.
+    ``recode`` maps old to new codes per text field; it applies to values that passed. ``masks`` makes
+    further columns from the fields' conditions of having failed.
     """
     specs, recode, silent = list(specs), recode or {}, set(unreported)
     out = [_col(k) for k in keep]
@@ -154,6 +156,9 @@ def fill_missing(
         out.append(value.alias(f.name, metadata=f.metadata))
     if qa is not None:
         out.append(qa_fields([f.name for f in specs if f.name not in silent]).alias(qa))
+    if masks is not None:
+        made = masks({f.name: _col(f.name).isNull() for f in specs if f.name not in silent})
+        out += [c.alias(n) for n, c in made.items()]
     return df.select(*out)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loantape.catalogue import FIELDS, MONTHLY_FIELDS
+from loantape.catalogue import FIELDS, MONTHLY_FIELDS, QA_ORDER
 from loantape.functions.bits import bucket
 from loantape.functions.scalars import age_fp, harp_flag, month_end
 from loantape.operators import aggregate as A
@@ -17,6 +17,8 @@ from loantape.operators.links import link_both
 from loantape.operators.timeline import PIECE, gathered, nest, order_key, packed_order, row_hash, timeline
 
 KEYS = ["file", "lnId"]
+# Bits that count a field's failures in a group of any size that one task could hold.
+LANE_BITS = 31
 
 # Order and names of the output columns.
 TIMELINE = (
@@ -125,15 +127,16 @@ def loan_tables(
     the keys and one ranking of the long groups, whose ranges are stored for both."""
     rows = _ordered(monthly, tie)
     hot = None if piece is None else skew.hot_groups(monthly, KEYS, piece)
+    lane_bits = LANE_BITS if piece is None else min(LANE_BITS, piece.bit_length())
     if hot is None:
-        loans = _whole_loans(rows, compat)
+        loans = _whole_loans(rows, compat, lane_bits)
         rest = monthly.sparkSession.createDataFrame([], _timelines_schema())
     else:
         match = skew.null_safe(rows, hot, KEYS)
         far = rows.join(hot, match, "left_semi")
         n_rows = hot.agg(F.sum("n_rows")).first()[0]
         pieces = skew.rank_pieces(far, KEYS, F.col("__order"), timeline_item(), piece, n_rows)
-        loans = _whole_loans(rows.join(hot, match, "left_anti"), compat).unionByName(_long_loans(far, pieces, compat))
+        loans = _whole_loans(rows.join(hot, match, "left_anti"), compat, lane_bits).unionByName(_long_loans(far, pieces, compat))
         rest = skew.gather_pieces(pieces.where(F.col("part") >= 1), KEYS, "monthly").select(*KEYS, "part", "monthly")
         rest = rest.to(_timelines_schema())
     if id_map is None:
@@ -162,7 +165,7 @@ def loan_timelines(
 
 def _ordered(monthly: DataFrame, tie: Iterable[str] | None) -> DataFrame:
     if tie is None:
-        order = packed_order(F.col("month"), row_hash(monthly))
+        order = packed_order(F.col("month"), row_hash(monthly.drop(*quality.MASKS)))
     else:
         order = order_key(F.col("month"), *[F.col(t) for t in tie])
     return star_plus(monthly).withColumn("__order", order)
@@ -182,17 +185,28 @@ def _finished(grouped: DataFrame) -> DataFrame:
     )
 
 
-def _whole_loans(rows: DataFrame, compat: bool) -> DataFrame:
-    """Everything in one aggregation: one scan, one shuffle."""
+def _whole_loans(rows: DataFrame, compat: bool, lane_bits: int) -> DataFrame:
+    """Everything in one aggregation: one scan, one shuffle. Failures are counted from their bits
+    where the table has them, and else from the texts of ``qa``, which then go through the shuffle."""
     order = F.col("__order")
+    masked = set(quality.MASKS) <= set(rows.columns)
+    if masked:
+        sums = quality.lane_sums(len(QA_ORDER), lane_bits)
+        failures = {f"__lane{i}": c for i, c in enumerate(sums)}
+    else:
+        failures = {"__tokens": quality.tokens_of_texts(F.collect_list("qa"))}
     grouped = rows.groupBy(*KEYS).agg(
         gathered(order, timeline_item()).alias("monthly"),
         F.count(F.lit(1)).alias("__n"),
-        quality.tokens_of_texts(F.collect_list("qa")).alias("__tokens"),
+        *[c.alias(name) for name, c in failures.items()],
         *[agg.alias(name) for name, agg in static_aggregates(order, compat).items()],
     )
-    profiled = grouped.withColumn("qa", quality.profile_of_tokens(F.col("__tokens")))
-    return _finished(profiled.drop("__tokens"))
+    if masked:
+        counts = quality.counts_of_lanes([F.col(n) for n in failures], QA_ORDER, lane_bits)
+        profile = quality.profile_of_counts(counts)
+    else:
+        profile = quality.profile_of_tokens(F.col("__tokens"))
+    return _finished(grouped.withColumn("qa", profile).drop(*failures))
 
 
 def _long_loans(rows: DataFrame, pieces: DataFrame, compat: bool) -> DataFrame:

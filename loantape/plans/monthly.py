@@ -8,10 +8,11 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loantape.catalogue import ALWAYS_LEGAL, DERIVED_FIELDS, EXTENDED_FIELDS, MSA_RECODE
+from loantape.catalogue import ALWAYS_LEGAL, DERIVED_FIELDS, EXTENDED_FIELDS, MSA_RECODE, QA_ORDER
 from loantape.catalogue import fields as tape_fields
 from loantape.operators.codes import code_table, coded_specs
 from loantape.operators.derive import LOAN_CALCS, constant_fields, derive, extra_specs
+from loantape.operators.quality import failure_masks
 from loantape.operators.skew import checkpointed
 from loantape.operators.validate import check_fields, fill_missing
 from loantape.spec import FieldSpec
@@ -27,6 +28,7 @@ def monthly_table(
     qa_derived: bool = True,
     codes: DataFrame | None = None,
     keep: Iterable[str] = (),
+    masks: bool = False,
 ) -> DataFrame:
     """Type, check and complete the rows of a scanned tape.
 
@@ -34,7 +36,8 @@ def monthly_table(
     date, today if not given. Derived fields with a legal range appear in ``qa`` unless
     ``qa_derived`` is off. ``codes`` (``field``, ``code``) are the legal codes of the fields it names,
     in place of their rules; retired area codes and the code for no area are always legal. ``keep``
-    names further columns of ``raw`` to carry along.
+    names further columns of ``raw`` to carry along. ``masks`` adds the failures as bits
+    (``quality.MASKS``, fields as in ``QA_ORDER``), which the rollup counts without reading ``qa``.
     """
     as_of = as_of or date.today()
     specs = list(specs) if specs is not None else tape_fields()
@@ -49,7 +52,7 @@ def monthly_table(
     derived = extra_specs(derive(checked, LOAN_CALCS), _LOADED, as_of, ["dq", "propVal"])
     # vintage is never illegal; without a first payment date it is the sentinel.
     silent = [] if qa_derived else [f.name for f in _LOADED]
-    out = fill_missing(derived, [*specs, *_LOADED], keep, unreported=silent, recode={"msa": MSA_RECODE})
+    out = fill_missing(derived, [*specs, *_LOADED], keep, unreported=silent, recode={"msa": MSA_RECODE}, masks=(lambda failed: failure_masks(failed, QA_ORDER)) if masks else None)
     qa = next(f for f in DERIVED_FIELDS if f.name == "qa")
     return out.withMetadata("qa", qa.metadata)
 

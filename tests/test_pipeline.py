@@ -7,9 +7,9 @@ import pytest
 import tapes
 from pyspark.sql import functions as F
 
-from loantape.catalogue import fields
+from loantape.catalogue import QA_ORDER, fields
 from loantape.plans.build import build_loans
-from loantape.operators import ranges
+from loantape.operators import quality, ranges
 from loantape.plans.loans import loan_rollup, loan_schema
 from loantape.plans.monthly import monthly_table
 from loantape.sinks import runs
@@ -379,6 +379,36 @@ def test_written_files_hold_ranges_of_the_key(spark, tmp_path):
     spark.sql("DROP VIEW ranged")
 
 
+@pytest.mark.parametrize("piece", [1, 3, 4096, None])
+def test_failures_counted_from_bits(spark, tmp_path, piece):
+    bad = {"fico": "x", "channel": "", "rate": "99", "state": "ZZ", "dqStat": "??", "opb": "1", "negAm": "Q", "totDefrl": "-1", "lnId": None}
+    names = list(bad)[:-1]
+    lines = []
+    for i in range(60):
+        broken = {n: bad[n] for k, n in enumerate(names) if i >> k % 5 & 1 and (i + k) % 3}
+        lines.append(tapes.line(112, lnId=str(i % 7), month=f"{1 + i % 12:02d}2010", **broken))
+    path = tapes.write(tmp_path, "a.csv", lines)
+    raw = tape.scan_loans(spark, path)
+    texts, bits = monthly_table(raw, AS_OF), monthly_table(raw, AS_OF, masks=True)
+    assert [c for c in bits.columns if c not in texts.columns] == list(quality.MASKS)
+    for r in bits.collect():
+        value = r["__failed0"] | r["__failed1"] << quality.MASK_BITS
+        assert {n for i, n in enumerate(QA_ORDER) if value >> i & 1} == set(filter(None, r.qa.split(":")))
+    want = {r.lnId: r for r in loan_rollup(texts, tie=["month"], piece=piece).collect()}
+    got = {r.lnId: r for r in loan_rollup(bits, tie=["month"], piece=piece).collect()}
+    assert {k: (r.qa, r.allFail, r.nMonths) for k, r in got.items()} == {k: (r.qa, r.allFail, r.nMonths) for k, r in want.items()}
+    assert sum(len(r.qa) for r in got.values()) > 20
+
+
+def test_texts_of_failures_stay_out_of_the_shuffle(spark, tmp_path):
+    path = tapes.write(tmp_path, "a.csv", [tapes.line(fico="x")] * 3)
+    monthly_table(tape.scan_loans(spark, path), AS_OF, masks=True).write.parquet(str(tmp_path / "m"))
+    loans = loan_rollup(spark.read.parquet(str(tmp_path / "m")), tie=["payHist"], piece=None)
+    plan = loans._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "qa:string" not in plan.split("ReadSchema:")[-1]
+    assert [(q.field, q.cntFail) for q in loans.collect()[0].qa] == [("fico", 3)]
+
+
 def test_numbers_look_like_numbers(spark):
     from loantape.functions.scalars import parse
 
