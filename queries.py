@@ -188,10 +188,10 @@ def write_monthly(spark, sf):
     return stored.select(*ID, F.col("month").cast("string"), "dq", "vintage", "qa", *amounts)
 
 
-def _store_loans(spark, loans_list):
+def _store_loans(spark, loans_list, keys=None):
     table, path = f"loans_{uuid.uuid4().hex}", new_folder(spark, "loans")
     for i, loans in enumerate(loans_list):
-        runs.write_loans(loans, table, create=i == 0, path=path)
+        runs.write_loans(loans, table, create=i == 0, path=path, keys=keys)
     return table
 
 
@@ -202,7 +202,7 @@ def _rollup(spark, sf, **options):
 
 @query
 def write_loans(spark, sf):
-    stored = spark.table(_store_loans(spark, [_rollup(spark, sf)]))
+    stored = spark.table(_store_loans(spark, [_rollup(spark, sf)], fixtures.raw_panel(spark, sf)))
     return stored.select(
         "file", "lnId", "fico", "vintage", "harpLnId", "preHarpId", F.size("monthly").alias("n")
     )

@@ -360,6 +360,25 @@ def test_ranges_from_the_keys(spark, tmp_path):
     assert ranges.by_ranges(keys, ["file", "lnId"], []).rdd.getNumPartitions() == 1
 
 
+def test_plan_of_the_loans_runs_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def noted(i):
+        seen.add(1)
+        return i
+
+    keys = spark.range(300_000).select(F.concat(F.lit("f"), (F.col("id") % 4).cast("string")).alias("file"), F.hash("id").cast("string").alias("lnId"), F.col("id").cast("int").alias("n"))
+    keys.write.parquet(str(tmp_path / "keys"))
+    stored = spark.read.parquet(str(tmp_path / "keys"))
+    runs.write_loans(stored.where("n < 3000").withColumn("n", noted("n")), "once", path=str(tmp_path / "once"), keys=stored)
+    assert seen.value == 3000
+    files = runs.read_table(spark, str(tmp_path / "once"), "loans").groupBy("file", F.input_file_name().alias("f"))
+    ends = sorted(tuple(r) for r in files.agg(F.min("lnId"), F.max("lnId")).drop("f").collect())
+    assert len(ends) > 4 and all(a[0] != b[0] or a[2] < b[1] for a, b in zip(ends, ends[1:]))
+    spark.sql("DROP VIEW once")
+
+
 def test_finished_rollup_runs_once(spark, tmp_path):
     std, _ = tape_folders(tmp_path)
     m = monthly_table(tape.scan_directory(spark, std), AS_OF)
