@@ -8,6 +8,11 @@ the distance to a code, summed from a table per query, is off by no more than th
 that vector, which is stored with it; whoever is further than r and that error is passed over, and
 the rest is compared exactly in double precision. Lists of unit-length float vectors only lose pairs
 to rounding, against which all bounds have a margin.
+
+The centroids are bounded, the vectors are not: where lists would grow long, each is divided into
+cells by the codes of its first subspaces, as many as it takes. The planes between two codes tell in
+each of them how far a cell is away, and what these distances come to together decides whether it is
+looked into. So tasks stay as small as before, and the index as well.
 """
 
 from __future__ import annotations
@@ -72,13 +77,17 @@ def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Index:
     """Centroids and code books; bounded by the sample, whatever the number of vectors."""
 
-    def __init__(self, sample: np.ndarray, n_lists: int, seed: int = 7) -> None:
+    def __init__(self, sample: np.ndarray, n_lists: int, depth: int = 0, seed: int = 7) -> None:
         self.centres = kmeans(sample, n_lists, seed)
         left = sample - self.centres[squared(sample, self.centres).argmin(1)]
         cuts = np.array_split(np.arange(sample.shape[1]), min(SUBSPACES, sample.shape[1]))
         self.parts = [slice(c[0], c[-1] + 1) for c in cuts]
         self.books = [kmeans(left[:, p], CODES, seed + 1 + i) for i, p in enumerate(self.parts)]
         self.between = np.sqrt(squared(self.centres, self.centres))
+        # Lists are divided by the codes of so many subspaces.
+        self.depth = min(depth, len(self.parts))
+        self.cells = CODES**self.depth
+        self.apart = [np.maximum(np.sqrt(squared(b, b)), 1e-12) for b in self.books[: self.depth]]
 
     def assign(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         far = squared(points, self.centres)
@@ -95,17 +104,38 @@ class Index:
             lost += far[np.arange(len(points)), codes[:, i]]
         return codes, np.sqrt(lost)
 
-    def probes(self, points: np.ndarray, reach: float) -> list[np.ndarray]:
-        """Per point the lists that can hold anything within ``reach``, its own first."""
-        own, far = self.assign(points)
+    def cell(self, lists: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The numbers of the cells, which are those of the lists where lists are not divided."""
+        number = lists.astype(np.int64)
+        for i in range(self.depth):
+            number = number * CODES + codes[:, i]
+        return number
+
+    def probes(self, points: np.ndarray, own: np.ndarray, far: np.ndarray, codes: np.ndarray, reach: float) -> list[np.ndarray]:
+        """Per point the cells that can hold anything within ``reach``, its own first; what the points
+        were assigned and their codes are given."""
+        mine = self.cell(own, codes)
         out = []
-        for i, mine in enumerate(own):
-            apart = np.maximum(self.between[mine], 1e-12)
-            beyond = (far[i] - far[i, mine]) / (2 * apart)
-            near = np.nonzero(beyond <= reach + MARGIN)[0]
-            out.append(np.r_[mine, near[near != mine]])
+        for i, first in enumerate(own):
+            apart = np.maximum(self.between[first], 1e-12)
+            beyond = (far[i] - far[i, first]) / (2 * apart)
+            near = self.within(points[i], np.nonzero(beyond <= reach + MARGIN)[0], reach)
+            out.append(np.r_[mine[i], near[near != mine[i]]])
         return out
 
+    def within(self, point: np.ndarray, lists: np.ndarray, reach: float) -> np.ndarray:
+        """The cells of these lists that can hold anything within ``reach`` of the point."""
+        number, at, cost = lists.astype(np.int64), np.arange(len(lists)), np.zeros(len(lists))
+        left = point - self.centres[lists]
+        for part, book, apart in zip(self.parts[: self.depth], self.books, self.apart):
+            far = squared(left[:, part], book)
+            nearest = far.argmin(1)
+            beyond = (far - far.min(1)[:, None]) / (2 * apart[nearest])
+            total = cost[:, None] + (beyond * beyond)[at]
+            row, code = np.nonzero(total <= (reach + MARGIN) ** 2)
+            number, at, cost = number[row] * CODES + code, at[row], total[row, code]
+        return number
+
     def table(self, queries: np.ndarray, number: int) -> np.ndarray:
         """Squared distances of each query's residual to every code: queries, subspaces, codes."""
         left = queries - self.centres[number]
@@ -130,9 +160,9 @@ def leading(units: list[bytes], dims: int) -> np.ndarray:
     return out
 
 
-def fit(vectors: DataFrame, dims: int, sample: int = SAMPLE) -> Index | None:
+def fit(vectors: DataFrame, dims: int, sample: int = SAMPLE, max_lists: int = MAX_LISTS) -> Index | None:
     """An index of the first ``dims`` components of the classes in ``vectors`` (``class_id``, ``unit``),
-    fitted on a bounded sample."""
+    fitted on a bounded sample. Beyond ``max_lists`` lists of ``LIST_ROWS``, lists have cells."""
     n, most = vectors.groupBy("label").count().agg(F.sum("count"), F.max("count")).first()
     if not n:
         return None
@@ -143,7 +173,10 @@ def fit(vectors: DataFrame, dims: int, sample: int = SAMPLE) -> Index | None:
         return None
     points = leading(rows["unit"].tolist(), dims)
     # Labels share the lists, so their number goes by the largest label.
-    return Index(points, int(min(MAX_LISTS, max(1, most // LIST_ROWS), len(points))))
+    depth = 0
+    while max_lists * CODES**depth * LIST_ROWS < most:
+        depth += 1
+    return Index(points, int(min(max_lists, max(1, most // LIST_ROWS), len(points))), depth)
 
 
 class Forest:
@@ -200,6 +233,7 @@ def near_duplicates(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     label_col: str = "label",
+    max_lists: int = MAX_LISTS,
 ) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` per row of ``vectors``.
 
@@ -209,6 +243,7 @@ def near_duplicates(
     equal once at length one are one class, which is searched once; its rows count one another.
     Rows that repeat an id count as rows of their own; rows without an id link like any other, and
     have a null component if nothing they reach has one. An empty table gives an empty table.
+    ``max_lists`` bounds the index; what it would take beyond that, cells of its lists do.
     """
     spark = prepare(vectors.sparkSession)
     reach = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
@@ -244,7 +279,7 @@ def near_duplicates(
         # Numbers, which the stored table keeps; a hash could give two classes one.
         classes.select(F.monotonically_increasing_id().alias("class_id"), "label", "unit", "lowest", "copies"), "classes"
     )
-    index = fit(classes, dims)
+    index = fit(classes, dims, max_lists=max_lists)
     if index is None:
         return rows.select(
             "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
@@ -255,9 +290,10 @@ def near_duplicates(
         at = shared.value
         for batch in batches:
             points = leading(batch.column(2).to_pylist(), dims)
-            probes = at.probes(points, reach)
+            own, far = at.assign(points)
+            codes, lost = at.encode(points, own)
+            probes = at.probes(points, own, far, codes, reach)
             lists = np.array([p[0] for p in probes], np.int64)
-            codes, lost = at.encode(points, lists)
             arrays = [
                 *batch.columns, pa.array(lists), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(lost),
                 pa.array(probes, pa.list_(pa.int64())),
@@ -288,7 +324,7 @@ def near_duplicates(
                 q_points = _matrix(part["unit"].combine_chunks())
                 q_copies = np.asarray(part["copies"])
                 own = np.asarray(part["own"])
-                table = at.table(leading(part["unit"].to_pylist(), dims), number)
+                table = at.table(leading(part["unit"].to_pylist(), dims), number // at.cells)
                 far = np.zeros((len(q_ids), len(ids)))
                 for i in range(codes.shape[1]):
                     far += table[:, i, codes[:, i]]

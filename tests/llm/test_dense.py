@@ -46,3 +46,41 @@ def test_forest_keeps_a_link_per_row():
         forest.add(np.arange(low, low + 50), a, b)
     assert len(forest.links) < 2 * n
     assert set(brute.roots(range(n), forest.links).values()) == {0}
+
+
+def test_cells_of_lists(spark, monkeypatch):
+    monkeypatch.setattr(pq, "LIST_ROWS", 2)
+    r = random.Random(43)
+    centres = [[r.gauss(0, 1) for _ in range(16)] for _ in range(40)]
+    rows = [(i, [x + r.gauss(0, 0.08) for x in r.choice(centres)], r.choice([1, 1, 2])) for i in range(400)]
+    rows += [(400 + i, [r.gauss(0, 1) for _ in range(n)], 1) for i in range(30) for n in [r.choice([3, 20])]]
+    rows += [(430 + i, rows[i][1], rows[i][2]) for i in range(20)]
+    table = spark.createDataFrame(rows, "vec_id int, embedding array<double>, label int")
+    want = brute.vector_links(rows)
+    made = []
+    plain = pq.fit
+    monkeypatch.setattr(pq, "fit", lambda *a, **k: made.append(plain(*a, **k)) or made[-1])
+    for max_lists, depth in ((1024, 0), (8, 1), (1, 2)):
+        got = {x.vec_id: (x.n_links, x.component_id) for x in pq.near_duplicates(table, max_lists=max_lists).collect()}
+        assert got == want
+        assert made[-1].depth == depth
+    assert any(n for n, _ in want.values())
+
+
+def test_cells_keep_what_is_near_and_leave_the_rest():
+    r = np.random.default_rng(44)
+    points = r.normal(size=(3000, 16))
+    points /= np.sqrt((points * points).sum(1))[:, None]
+    points[1:1500:2] = points[0:1500:2] + r.normal(size=(750, 16)) * 0.01
+    points /= np.sqrt((points * points).sum(1))[:, None]
+    index = pq.Index(points, 4, depth=2)
+    own, far = index.assign(points)
+    codes, _ = index.encode(points, own)
+    probes = index.probes(points, own, far, codes, 0.2)
+    cell = index.cell(own, codes)
+    assert [p[0] for p in probes] == cell.tolist()
+    assert all(len(set(p.tolist())) == len(p) for p in probes)
+    a, b = np.nonzero(pq.squared(points, points) <= 0.2**2)
+    assert len(a) > 4000 and all(cell[y] in probes[x] for x, y in zip(a.tolist(), b.tolist()))
+    # Of 4,096 cells, a point looks into some.
+    assert np.mean([len(p) for p in probes]) < 0.25 * 4 * index.cells
