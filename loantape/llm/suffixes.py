@@ -22,11 +22,14 @@ Nothing is dropped or capped: an anchor that very many documents have is one ent
 equal runs, or equal strings of a hot anchor, are one per block. A bucket holds of one anchor the
 runs of ``HOT`` documents at most, or of one string an entry per block, and a block a bounded number
 of bytes, but for single documents that are longer. Rows without an id go through no block.
+A block sends a row to every bucket it has anchors in, so blocks grow with the fourth root of the
+text (70 MB at 100 TB), and rows, of blocks and buckets, by its power of 1.5 instead of 2.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -41,6 +44,8 @@ from loantape.llm.store import give_back, prepare
 WIDTH = 50
 GRAM = 20
 BLOCK_BYTES = 4 << 20
+# Text up to which blocks keep that size.
+EVEN_BYTES = 1 << 30
 # Documents from which an anchor's strings are dealt by themselves.
 HOT = 1 << 14
 SLICE = (1 << 20) - 128
@@ -228,6 +233,12 @@ def _unpack(blob: bytes, kind) -> np.ndarray:
     return np.frombuffer(blob, kind)
 
 
+def n_blocks(total: int, block_bytes: int = BLOCK_BYTES) -> int:
+    """The number of blocks for so many bytes of text, of ``block_bytes`` up to ``EVEN_BYTES``."""
+    size = block_bytes * max(1.0, total / EVEN_BYTES) ** 0.25
+    return max(1, math.ceil(total / size))
+
+
 def remove_repeats(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -247,8 +258,7 @@ def remove_repeats(
     """
     prepare(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`")))).first()[0] or 0
-    blocks = int(max(1, -(-total // block_bytes)))
-    buckets = blocks
+    blocks = buckets = n_blocks(total, block_bytes)
     others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
     every = docs.select(
         F.struct(*others).alias("row"),

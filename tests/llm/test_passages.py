@@ -38,3 +38,16 @@ def test_no_bucket_holds_all_runs_of_an_anchor(spark, monkeypatch):
 
     monkeypatch.setattr(suffixes, "sort_suffixes", bounded)
     checked(spark, [(i, t) for i, (_, t) in enumerate(line_in_all(1000))], block_bytes=1500)
+
+
+def test_blocks_grow_slowly_with_the_text():
+    assert suffixes.n_blocks(0) == 1 and suffixes.n_blocks(1) == 1
+    assert suffixes.n_blocks(1 << 30) == 256
+    sizes = [total / suffixes.n_blocks(total) for total in (1 << 30, 1 << 34, 1 << 38, 100 * 10**12)]
+    assert sizes == sorted(sizes) and sizes[-1] < 80 << 20
+
+
+def test_larger_blocks_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "EVEN_BYTES", 64)
+    assert suffixes.n_blocks(20_000, 3000) == 2
+    checked(spark, line_in_all(90))
