@@ -163,6 +163,24 @@ def loan_timelines(
     return pieces.where(F.col("part") >= first).select(*KEYS, "part", "monthly")
 
 
+def bucketed_rollup(
+    buckets: DataFrame,
+    rest: DataFrame | None,
+    id_map: DataFrame | None = None,
+    tie: Iterable[str] | None = None,
+    compat: bool = True,
+    piece: int = PIECE,
+) -> DataFrame:
+    """``loan_rollup`` of what ``bucket_monthly`` has split by ``piece`` months: loans in buckets are
+    rolled up where they lie, without a shuffle; only the long ones are counted and ranked."""
+    loans = loan_tables(buckets, None, tie, compat, None)[0]
+    if rest is not None:
+        loans = loans.unionByName(loan_tables(rest, None, tie, compat, piece)[0])
+    if id_map is not None:
+        loans = link_both(loans.drop("harpLnId", "preHarpId"), id_map)
+    return loans.select(*loan_schema().names).to(loan_schema())
+
+
 def _ordered(monthly: DataFrame, tie: Iterable[str] | None) -> DataFrame:
     if tie is None:
         order = packed_order(F.col("month"), row_hash(monthly.drop(*quality.MASKS)))

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loantape.operators.skew import sort_rows
+from loantape.operators.skew import hot_groups, null_safe, sort_rows
+
+# Rows of a bucket: some hundreds of MB of the monthly table.
+BUCKET_ROWS = 4_000_000
 
 
 def write_monthly(monthly: DataFrame, path: str) -> DataFrame:
@@ -20,6 +23,35 @@ def write_monthly(monthly: DataFrame, path: str) -> DataFrame:
     return monthly.sparkSession.read.schema(monthly.schema).parquet(path)
 
 
+def bucket_monthly(
+    monthly: DataFrame, table: str, path: str, keys: Iterable[str], limit: int, buckets: int | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """A stored monthly table kept as the catalog's ``table``, bucketed and sorted by ``keys``, and
+    what does not go into buckets: the rows of groups with more than ``limit`` rows, or ``None``.
+
+    One shuffle here, in place of one in each aggregation by ``keys`` or in each join of tables with
+    as many buckets (``buckets``, by default one per ``BUCKET_ROWS``). A group is in one bucket
+    whole, so those that one task could not hold stay apart, as a Parquet table that Spark shuffles
+    with its partial aggregates. Both lie below ``path``; an existing ``table`` is replaced. NULL keys
+    are groups like any other.
+    """
+    keys = list(keys)
+    spark = monthly.sparkSession
+    long = hot_groups(monthly, keys, limit)
+    rows, rest = monthly, None
+    if long is not None:
+        match = null_safe(monthly, long, keys)
+        rows = monthly.join(long, match, "left_anti")
+        rest = write_monthly(monthly.join(long, match, "left_semi"), f"{path}/long")
+    if buckets is None:
+        buckets = max(spark.sparkContext.defaultParallelism, -(-monthly.count() // BUCKET_ROWS))
+    spark.sql(f"drop table if exists `{table}`")
+    # Spread as the buckets are, so that a task writes one of them, in one file.
+    spread = rows.repartition(buckets, *keys).write.mode("overwrite").option("path", f"{path}/buckets")
+    spread.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table, format="parquet")
+    return spark.table(table), rest
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of intermediate data, if it is there."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

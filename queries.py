@@ -815,6 +815,28 @@ def loan_rollup_parts(spark, sf):
     return flat_loans(_rollup(spark, sf, piece=3))
 
 
+def _buckets(spark, rows, limit):
+    staged = tables.write_monthly(rows, new_folder(spark, "monthly"))
+    return tables.bucket_monthly(staged, f"monthly_{uuid.uuid4().hex}", new_folder(spark, "buckets"), KEYS, limit)
+
+
+@query
+def loan_rollup_buckets(spark, sf):
+    """As ``loan_rollup_parts``, from buckets; loans of more than three months lie beside them."""
+    rows = monthly_table(raw(spark, sf), AS_OF, masks=True)
+    rolled = L.bucketed_rollup(*_buckets(spark, rows, 3), fixtures.id_map(spark, sf), tie=["payHist"], piece=3)
+    return flat_loans(rolled)
+
+
+@query
+def monthly_buckets(spark, sf):
+    """The quality profile of a panel with blank and NULL ids, from buckets and what lies beside them."""
+    kept, rest = _buckets(spark, _blank(spark, sf), 40)
+    parts = [kept] if rest is None else [kept, rest]
+    profiles = [quality.qa_profile(p, KEYS).select(*KEYS, F.inline("qa")) for p in parts]
+    return profiles[0] if rest is None else profiles[0].unionByName(profiles[1])
+
+
 def _blank(spark, sf):
     """The panel with a third of all rows under a blank loan id and some under none."""
     lnid = F.when(F.col("dti") % 3 == 0, "").when(F.col("dti") % 17 == 1, F.lit(None)).otherwise(F.col("lnId"))

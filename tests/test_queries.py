@@ -14,7 +14,7 @@ SOME = [
     "recode_msa", "derived_valid", "qa_profile", "timeline", "timeline_copies", "first_non_missing",
     "avg_non_missing", "max_given", "loan_rollup", "loan_rollup_parts", "loan_rollup_strict",
     "loan_rollup_blank", "loan_rollup_blank_parts", "loan_timelines", "sort_loan_month",
-    "link_many", "sort_copies", "extra_specs", "join_qa", "cast_fields",
+    "link_many", "sort_copies", "loan_rollup_buckets", "monthly_buckets", "extra_specs", "join_qa", "cast_fields",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not here")

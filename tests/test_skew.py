@@ -10,6 +10,7 @@ from loantape.catalogue import MONTHLY_FIELDS
 from loantape.operators import links, quality, skew
 from loantape.operators import timeline as tl
 from loantape.plans import loans as L
+from loantape.sinks.tables import bucket_monthly, write_monthly
 
 
 def hot_rows(n=600):
@@ -223,3 +224,39 @@ def test_one_shuffle_before_the_links(spark, tmp_path):
     plan = loans._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
     assert "Python" not in plan and "Window" not in plan
+
+
+def in_buckets(spark, tmp_path, rows, limit):
+    staged = write_monthly(rows, str(tmp_path / f"staged{limit}"))
+    return bucket_monthly(staged, "monthly_in_buckets", str(tmp_path / f"kept{limit}"), ["file", "lnId"], limit, 3)
+
+
+def test_buckets_hold_all_but_the_long_loans(spark, tmp_path):
+    lnid = F.when(F.col("lnId") == "100000000003", F.lit(None)).otherwise(F.col("lnId"))
+    rows = monthly_rows(spark).withColumn("lnId", lnid)
+    whole = joined_pieces(L.loan_rollup(rows, tie=["payHist"], piece=None))
+    # Longer than 1: all loans; than 30: the blank id; than 4096: none.
+    for limit, kept_rows in ((1, 0), (30, 160), (4096, 240)):
+        kept, rest = in_buckets(spark, tmp_path, rows, limit)
+        assert kept.count() == kept_rows and (rest is None) == (kept_rows == 240)
+        loans = L.bucketed_rollup(kept, rest, tie=["payHist"], piece=limit)
+        pieces = None if rest is None else L.loan_timelines(rest, tie=["payHist"], piece=limit, first=1)
+        assert joined_pieces(loans, pieces) == whole
+
+
+def test_no_exchange_above_buckets(spark, tmp_path):
+    kept, _ = in_buckets(spark, tmp_path, monthly_rows(spark), 4096)
+    other = spark.table("monthly_in_buckets").select("file", "lnId", F.col("month").alias("m"))
+    for df in (
+        L.bucketed_rollup(kept, None, tie=["payHist"]),
+        skew.group_sizes(kept, ["file", "lnId"]),
+        quality.qa_profile(kept, ["file", "lnId"]),
+        kept.hint("merge").join(other, ["file", "lnId"]),
+    ):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_empty_table_in_buckets(spark, tmp_path):
+    kept, rest = in_buckets(spark, tmp_path, monthly_rows(spark).limit(0), 5)
+    assert rest is None and kept.count() == 0
+    assert L.bucketed_rollup(kept, rest).count() == 0
