@@ -226,6 +226,17 @@ def test_one_shuffle_before_the_links(spark, tmp_path):
     assert "Python" not in plan and "Window" not in plan
 
 
+def test_whole_rollup_holds_no_texts_of_known_fields(spark, tmp_path):
+    rows = monthly_rows(spark)
+    rows = rows.withColumn("qa", F.when(F.col("upb") > 100, F.concat(F.lit(":zz"), F.when(F.col("qa") == "", ":").otherwise(F.col("qa")))).otherwise(F.col("qa")))
+    rows = write_monthly(rows, str(tmp_path / "m"))
+    loans = L.loan_rollup(rows, tie=["payHist"], piece=None)
+    assert "collect_list(qa#" not in loans._jdf.queryExecution().optimizedPlan().toString()
+    want = {r.lnId: [tuple(x) for x in r.qa] for r in quality.qa_profile(rows, ["file", "lnId"]).collect()}
+    assert {r.lnId: [tuple(x) for x in r.qa] for r in loans.collect()} == want
+    assert {"zz", "fico", "dti"} <= {f for f, _ in want[""]}
+
+
 def in_buckets(spark, tmp_path, rows, limit):
     staged = write_monthly(rows, str(tmp_path / f"staged{limit}"))
     return bucket_monthly(staged, "monthly_in_buckets", str(tmp_path / f"kept{limit}"), ["file", "lnId"], limit, 3)
