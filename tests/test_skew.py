@@ -237,6 +237,31 @@ def test_whole_rollup_holds_no_texts_of_known_fields(spark, tmp_path):
     assert {"zz", "fico", "dti"} <= {f for f, _ in want[""]}
 
 
+def test_loans_of_a_few_pieces_are_not_ranked(spark, monkeypatch):
+    rows = monthly_rows(spark).where("lnId != ''")
+    whole = joined_pieces(L.loan_rollup(rows, tie=["payHist"], piece=None))
+    monkeypatch.setattr(skew, "rank_pieces", lambda *a, **k: pytest.fail("ranked"))
+    loans, rest = L.loan_tables(rows, tie=["payHist"], piece=3)
+    assert max(len(r.monthly) for r in loans.collect()) == 3
+    assert max(len(r.monthly) for r in rest.collect()) == 3 and min(r.part for r in rest.collect()) == 1
+    assert joined_pieces(loans, rest) == whole
+    all_ = L.loan_timelines(rows, tie=["payHist"], piece=3)
+    assert joined_pieces(loans, all_.where("part > 0")) == whole
+    plan = loans._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan
+
+
+def test_ranked_rows_are_stored_packed_and_offsets_broadcast(spark):
+    rows = spark.range(3000).select((F.col("id") % 2).alias("k"), (F.col("id") % 700).alias("o"), F.col("id").alias("i"))
+    pieces = skew.rank_pieces(rows, ["k"], F.col("o"), F.struct("i"), 100, 3000)
+    plan = pieces._jdf.queryExecution().executedPlan().toString()
+    assert "parquet" in plan and "SortMergeJoin" not in plan
+    got = {(r.k, r.part): [x.i for x in r.items] for r in skew.gather_pieces(pieces, ["k"], "items").collect()}
+    for k in (0, 1):
+        ordered = sorted(range(k, 3000, 2), key=lambda i: (i % 700, i))
+        assert [got[k, p] for p in range(15)] == [ordered[p * 100 : p * 100 + 100] for p in range(15)]
+
+
 def in_buckets(spark, tmp_path, rows, limit):
     staged = write_monthly(rows, str(tmp_path / f"staged{limit}"))
     return bucket_monthly(staged, "monthly_in_buckets", str(tmp_path / f"kept{limit}"), ["file", "lnId"], limit, 3)
