@@ -58,3 +58,34 @@ def test_stored_loans_draw_ranges_from_stored_rows(spark, monkeypatch):
 def test_a_bucket_is_sorted_in_memory():
     """Some 1 KB a row in memory, and a task has some hundreds of MB."""
     assert Q.tables.BUCKET_ROWS * 1024 <= 512 << 20
+
+
+def test_panel_rows_of_an_order_lie_together(spark, tmp_path):
+    """Joined as grouped, and the same rows as by the SQL as written."""
+    for name, key in (("orders", "o_orderkey"), ("customer", "c_custkey"), ("part", "p_partkey")):
+        more = {
+            "orders": {"o_custkey": F.col("id") % 7 + 1, "o_totalprice": F.lit(1000.5), "o_orderdate": F.lit("2001-02-03").cast("date")},
+            "customer": {"c_mktsegment": F.lit("BUILDING")},
+            "part": {"p_size": F.lit(5)},
+        }[name]
+        made = spark.range(1, 41).withColumns({key: F.col("id"), **more}).drop("id")
+        made.unionByName(made.where(F.col(key) == 3)).write.parquet(f"{tmp_path}/{name}.parquet")
+    line = {
+        "l_orderkey": F.when(F.col("id") % 11 > 0, F.col("id") % 37 + 1), "l_partkey": F.col("id") % 41 + 1, "l_suppkey": F.col("id") % 5,
+        "l_linenumber": (F.col("id") % 7 + 1).cast("int"), "l_quantity": F.lit(12.0), "l_extendedprice": F.lit(1234.5), "l_discount": F.lit(0.04),
+        "l_tax": F.lit(0.02), "l_returnflag": F.lit("R"), "l_linestatus": F.lit("F"), "l_shipdate": F.lit("2002-03-04").cast("date"),
+    }
+    spark.range(400).withColumns(line).drop("id").write.parquet(f"{tmp_path}/lineitem.parquet")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        panel = Q.fixtures.raw_panel(spark, str(tmp_path))
+        places = panel.select("lnId", F.spark_partition_id().alias("at")).groupBy("lnId").agg(F.count_distinct("at").alias("n"))
+        assert places.where("n > 1").count() == 0
+        written = spark.sql(Q.fixtures.WIDE_SQL)
+        assert panel.columns == written.columns
+        assert panel.exceptAll(written).count() == written.exceptAll(panel).count() == 0 < panel.count()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
