@@ -60,6 +60,30 @@ def test_a_bucket_is_sorted_in_memory():
     assert Q.tables.BUCKET_ROWS * 1024 <= 512 << 20
 
 
+def failures(spark):
+    """A table of failures with a blank and a NULL id and rows without any."""
+    rows = [("a", "1", ":x:y:"), ("a", "1", ":y:"), ("a", "2", ""), ("a", "", ":x:"), ("a", "", ":x:z:"), ("b", None, ":x:"), ("b", None, ":x:")]
+    return spark.createDataFrame(rows * 3, "file string, lnId string, qa string")
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+COUNTED = [("a", "", "x", 6), ("a", "", "z", 3), ("a", "1", "x", 3), ("a", "1", "y", 6), ("b", None, "x", 6)]
+
+
+@pytest.mark.parametrize(("limit", "shuffles"), [(6, (1, 1)), (5, (1, 2))])
+def test_failures_are_counted_behind_one_shuffle(spark, monkeypatch, limit, shuffles):
+    monkeypatch.setattr(Q, "monthly", lambda *_: failures(spark))
+    monkeypatch.setattr(Q.quality.near_keys, "__defaults__", (limit,))
+    counts, grouped = Q.count_by_key(spark, ""), Q.group_to_arrays(spark, "")
+    assert (exchanges(counts), exchanges(grouped)) == shuffles
+    assert sorted(map(tuple, counts.collect()), key=repr) == sorted(COUNTED, key=repr)
+    wanted = [("a", "", "x;z", "6;3"), ("a", "1", "x;y", "3;6"), ("b", None, "x", "6")]
+    assert sorted(map(tuple, grouped.collect()), key=repr) == sorted(wanted, key=repr)
+
+
 def test_panel_rows_of_an_order_lie_together(spark, tmp_path):
     """Joined as grouped, and the same rows as by the SQL as written."""
     for name, key in (("orders", "o_orderkey"), ("customer", "c_custkey"), ("part", "p_partkey")):
