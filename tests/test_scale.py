@@ -84,6 +84,27 @@ def test_failures_are_counted_behind_one_shuffle(spark, monkeypatch, limit, shuf
     assert sorted(map(tuple, grouped.collect()), key=repr) == sorted(wanted, key=repr)
 
 
+def test_profiles_are_made_behind_one_shuffle(spark):
+    rows = Q.quality.near_keys(failures(spark), Q.KEYS)
+    profile = Q.quality.qa_profile(rows, Q.KEYS)
+    assert exchanges(profile) == 1
+    joined = Q.quality.join_qa(rows.select(*Q.KEYS).distinct(), profile, Q.KEYS)
+    made = {(r.file, r.lnId): [tuple(p) for p in r.qa] for r in joined.collect()}
+    assert made == {("a", "1"): [("x", 3), ("y", 6)], ("a", "2"): [], ("a", ""): [("x", 6), ("z", 3)], ("b", None): [("x", 6)]}
+    assert Q.quality.near_keys(failures(spark).limit(0), Q.KEYS).count() == 0
+
+
+def test_join_qa_deals_its_rows_out_first(spark, monkeypatch):
+    rows = failures(spark).withColumn("qa", F.replace("qa", F.lit("x"), F.lit("fico")))
+    asked = []
+    near = Q.quality.near_keys
+    monkeypatch.setattr(Q, "monthly", lambda *_: rows)
+    monkeypatch.setattr(Q.quality, "near_keys", lambda df, keys: asked.append(keys) or near(df, keys))
+    made = sorted(((r.file, r.lnId, r.qa) for r in Q.join_qa(spark, "").collect()), key=repr)
+    assert made == sorted([("a", "", "fico=6;z=3"), ("a", "1", "fico=3;y=3"), ("a", "2", ""), ("b", None, "fico=6")], key=repr)
+    assert asked == [Q.KEYS]
+
+
 def test_panel_rows_of_an_order_lie_together(spark, tmp_path):
     """Joined as grouped, and the same rows as by the SQL as written."""
     for name, key in (("orders", "o_orderkey"), ("customer", "c_custkey"), ("part", "p_partkey")):
