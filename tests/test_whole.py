@@ -68,6 +68,11 @@ def test_further_months_are_committed_with_the_loans(spark, panel, tmp_path):
     assert sum(len(m) for _, m in stored.values()) == panel.count()
 
 
+def test_bucketed_loans_have_all_months(spark, panel, monkeypatch):
+    want = told(Q.flat_loans(L.loan_rollup(panel, Q.fixtures.id_map(), tie=["payHist"], piece=None)))
+    assert told(Q.loan_rollup_buckets(spark, "")) == want
+
+
 def test_many_long_loans_are_cut_behind_one_aggregation(spark, tmp_path, monkeypatch):
     rows = write_monthly(monthly_rows(spark), str(tmp_path / "m"))
     whole = joined_pieces(L.loan_rollup(rows, tie=["payHist"], piece=None))
