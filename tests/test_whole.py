@@ -73,6 +73,21 @@ def test_bucketed_loans_have_all_months(spark, panel, monkeypatch):
     assert told(Q.loan_rollup_buckets(spark, "")) == want
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_blank_loans_have_all_months_in_pieces(spark, panel, monkeypatch, small):
+    monkeypatch.setattr(Q, "_blank", lambda *_: panel)
+    monkeypatch.setattr(Q, "BLANK_PIECE", 7)
+    monkeypatch.setattr(skew, "is_small", lambda df: small)
+    whole = Q.flat_loans(L.loan_rollup(panel, Q.fixtures.id_map(), tie=["payHist"], piece=None)).collect()
+    want = {}
+    for r in map(lambda r: r.asDict(), whole):
+        for part in range(-(-r["nMonths"] // 7)):
+            cut = {c: ";".join(v.split(";")[part * 7 : part * 7 + 7]) for c, v in r.items() if c.startswith("monthly_")}
+            want[r["file"], r["lnId"], r["harpLnId"], part] = r | cut | {"part": part}
+    got = {(r["file"], r["lnId"], r["harpLnId"], r["part"]): r for r in map(lambda r: r.asDict(), Q.loan_rollup_blank(spark, "").collect())}
+    assert got == want and max(k[3] for k in got if k[1] == "") == 11
+
+
 def test_many_long_loans_are_cut_behind_one_aggregation(spark, tmp_path, monkeypatch):
     rows = write_monthly(monthly_rows(spark), str(tmp_path / "m"))
     whole = joined_pieces(L.loan_rollup(rows, tie=["payHist"], piece=None))
